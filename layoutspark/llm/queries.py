@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, toxicity
+from . import exact_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = (op1_quality_rules, op2_exact_dedup, op3_quality_classifier, op6_mixing, op7_ngram_join, op9_packing, op10_toxicity)
+QUERIES = (op1_quality_rules, op2_exact_dedup, op3_quality_classifier, op4_suffix_dedup, op6_mixing, op7_ngram_join, op9_packing, op10_toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
