@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
+from . import exact_dedup, html_extract, language_id, mixing, ngram_join, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = (op1_quality_rules, op2_exact_dedup, op3_quality_classifier, op4_suffix_dedup, op6_mixing, op7_ngram_join, op9_packing, op10_toxicity)
+QUERIES = (op1_quality_rules, op2_exact_dedup, op3_quality_classifier, op4_suffix_dedup, op5_html_extract, op6_mixing, op7_ngram_join, op8_language_id, op9_packing, op10_toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
