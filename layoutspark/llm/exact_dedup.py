@@ -17,9 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import checked_broadcast, materialize
 
 MIN_CHARS, MAX_CHARS = 256, 2048
+#: Dropped rows up to which they are broadcast (an id and a digest each, some 20 MB at most).
+BROADCAST_COPIES = 200_000
 
 
 def chunk_pattern(least: int = MIN_CHARS, most: int = MAX_CHARS) -> str:
@@ -74,9 +76,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that exact_dedup drops; all columns as they were."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_sha")).distinct()
-    same = docs[id_col].eqNullSafe(kept["kept_id"]) & (F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)) == kept["kept_sha"])
-    return docs.join(kept, same, "left_semi")
+    gone = exact_dedup(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_sha"))
+    gone = checked_broadcast(materialize(gone, "dropped-copies"), BROADCAST_COPIES)
+    same = docs[id_col].eqNullSafe(gone["gone_id"]) & (F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)) == gone["gone_sha"])
+    return docs.join(gone, same, "left_anti")
 
 
 OP2_SQL = """

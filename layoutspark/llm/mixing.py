@@ -68,11 +68,12 @@ def mix(docs: DataFrame, **columns) -> DataFrame:
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """docs with each row as often as the mix takes it; texts are not shuffled."""
     sized = sizes(docs, id_col, text_col, source_col)
-    rates = materialize(targets(sized).select(F.col("source").alias("__of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate")), "rates")
-    rate = F.col("__rate")
-    n = F.floor(rate) + (draw(F.col(id_col), seed) < rate - F.floor(rate)).cast("long")
-    found = docs.join(checked_broadcast(rates), F.col(source_col).eqNullSafe(F.col("__of"))).withColumn("__n", n).where("__n > 0")
-    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*[docs[c] for c in docs.columns])
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rates = checked_broadcast(materialize(targets(sized).select(F.col("source").alias("mix_of"), rate.alias("mix_rate")), "rates"))
+    n = F.floor(rates["mix_rate"]) + (draw(docs[id_col], seed) < rates["mix_rate"] - F.floor(rates["mix_rate"])).cast("long")
+    times = F.array_repeat(F.lit(1), n.cast("int"))  # none: the row goes
+    found = docs.join(rates, docs[source_col].eqNullSafe(rates["mix_of"]))
+    return found.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.explode(times).alias("copy")).select("row.*")
 
 
 OP6_SQL = r"""
