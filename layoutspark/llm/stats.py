@@ -134,5 +134,11 @@ def one_label(labels: DataFrame, column: str) -> DataFrame:
 
 
 def bounded_sample(labelled: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
-    """The rows with the smallest hashes of their id, so many at most; the same ones whatever the partitioning."""
+    """The rows with the smallest hashes of their key, so many at most; the same ones whatever the partitioning.
+
+    They are counted first, so that each task sends on only rows that can be among them.
+    """
+    n = labelled.count()
+    if n > 2 * rows:
+        labelled = labelled.where(F.xxhash64(key) <= F.lit(int(-(2**63) + 2**64 * 2 * rows / n)))
     return labelled.orderBy(F.xxhash64(key), key).limit(rows)
