@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PAGE = W.partitionBy("page_id")
+def by_page():
+    return W.partitionBy("page_id")
 
 
 def entropy(pixels: DataFrame, keys: list[str] = ["page_id"], value: str = "v") -> DataFrame:
@@ -34,7 +35,7 @@ def row_profile(pixels: DataFrame, inside: Column, axis: str = "y") -> DataFrame
 
 def profile_runs(profile: DataFrame, active: Column, least: int, axis: str = "y") -> DataFrame:
     """(page_id, lo, hi): runs of at least so many active rows; hi is exclusive."""
-    on = profile.where(active).withColumn("island", F.col(axis) - F.row_number().over(PAGE.orderBy(axis)))
+    on = profile.where(active).withColumn("island", F.col(axis) - F.row_number().over(by_page().orderBy(axis)))
     return on.groupBy("page_id", "island").agg(F.min(axis).alias("lo"), (F.max(axis) + 1).alias("hi")).where(F.col("hi") - F.col("lo") >= least).drop("island")
 
 

@@ -319,7 +319,7 @@ def column_order(spark, d):
 
 @query(f"WITH {ad.LINES_SQL} SELECT page_id, line_no, greatest(0, lead(y1) OVER (PARTITION BY page_id ORDER BY y1, x1, line_no) - y2) AS gap FROM lines WHERE TRUE QUALIFY lead(y1) OVER (PARTITION BY page_id ORDER BY y1, x1, line_no) IS NOT NULL")
 def line_gaps(spark, d):
-    last = F.lead("y1").over(tb.PAGE.orderBy("y1", "x1", "line_no")).isNull()
+    last = F.lead("y1").over(tb.by_page().orderBy("y1", "x1", "line_no")).isNull()
     return tb.line_gaps(_lines(spark, d)).withColumn("last", last).where("not last").select("page_id", "line_no", "gap")
 
 
@@ -361,7 +361,7 @@ def _blocks(spark, d):
     """Blocks with their prefix headlines split off, numbered from the top, with roles and an id per page."""
     lines = tb.merged_blocks(_lines(spark, d))
     split = tb.split_prefix(lines).withColumn("root", F.col("root") * 2 + F.col("part"))
-    blocks = tb.blocks_of(split).withColumn("seq", F.row_number().over(tb.PAGE.orderBy("y1", "x1", "root")).cast("long"))
+    blocks = tb.blocks_of(split).withColumn("seq", F.row_number().over(tb.by_page().orderBy("y1", "x1", "root")).cast("long"))
     median = lines.groupBy("page_id").agg(F.median((F.col("y2") - F.col("y1")).cast("double")).alias("page_median_h"))
     return tb.roles(blocks, median, "seq")
 
