@@ -139,7 +139,7 @@ def char_counts(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """batch in pieces of about so many bytes of text (one row at least), so that memory doesn't follow the batch size."""
     col = batch.column(column).cast(pa.large_binary()).fill_null(b"")
     sizes = np.diff(np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]) if len(col) else np.zeros(0, np.int64)

@@ -29,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
-WINDOW, END_ID, SHARD_TOKENS = 2048, 1, 4 << 20
+WINDOW, END_ID, SHARD_TOKENS = 2048, 1, 2 << 20
 K1, B, QUERY_TOKENS, MOST_POSTINGS = 1.2, 0.75, 12, 256
-CACHE_WORDS, CACHE_CHARS = 300_000, 40
+CACHE_WORDS, CACHE_CHARS = 150_000, 40
 _beside_space = re.compile(r"\s | \s")
 
 
@@ -185,7 +187,8 @@ def packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
         encode = tokenizer(vocabulary)
         sequence = TaskContext.get().partitionId() << 33
         shard, size = [], 0
-        rows = chain.from_iterable(zip(b.column("doc_id").to_pylist(), b.column("t").to_pylist()) for b in batches)
+        parts = (part for batch in batches for part in slices(batch, "t"))  # few texts are Python strings at a time
+        rows = chain.from_iterable(zip(p.column("doc_id").to_pylist(), p.column("t").to_pylist()) for p in parts)
         for doc_id, text in rows:
             ids = encode(text) + end
             if shard and size + len(ids) // 4 > shard_tokens:

@@ -111,7 +111,7 @@ def _anchor_rows(length: int, k: int):
     def run(batches):
         kept, size = [], 0
         for batch in batches:
-            for part in slices(batch, "t", 2 << 20):
+            for part in slices(batch, "t"):
                 data, start, end = buffers(part.column("t"))
                 at, h = anchors(data, start, end, length, k)
                 full = np.flatnonzero(end > start)
@@ -187,7 +187,7 @@ def _run_rows(parts: int, length: int, k: int):
     def run(batches):
         kept, size = [], 0
         for batch in batches:
-            for piece in slices(batch, "t", 2 << 20):
+            for piece in slices(batch, "t"):
                 data, start, end = buffers(piece.column("t"))
                 lists = piece.column("ps")
                 text = np.repeat(np.arange(len(start)), np.diff(lists.offsets.to_numpy()))
