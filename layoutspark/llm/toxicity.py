@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import Words, checked_broadcast, lowered, mix, powers, slices, words
 from .stats import bounded_sample, one_label
 
-BITS, SAMPLE, WORDS, GRADES, STEPS, RIDGE, LEAST_ROWS = 22, 20_000, 4096, 4, 300, 2.0, 3
+BITS, SAMPLE, WORDS, GRADES, STEPS, RIDGE, LEAST_ROWS, SEED = 22, 20_000, 4096, 4, 300, 2.0, 3, 1
 
 
 def word_features(w: Words, bits: int = BITS) -> np.ndarray:
@@ -80,26 +80,27 @@ def _features(batches):
 
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Severity:
-    """rows: (toxic, features, occurrences) in a fixed order; every fifth calibrates and isn't fitted."""
+    """rows: (toxic, features, occurrences) in a fixed order; a random fifth calibrates and isn't fitted."""
     y = np.array([r[0] for r in rows], np.int64)
     if not len(y) or y.all() or not y.any():
         p = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
         return Severity(bounds=np.full(GRADES - 1, -np.log(p / (1 - p))))
-    fitted = np.arange(len(y)) % 5 != 0
-    doc = np.repeat(np.arange(len(y)), [len(r[1]) for r in rows])
-    feat, count = np.concatenate([r[1] for r in rows]).astype(np.int64), np.concatenate([r[2] for r in rows])
+    fitted = np.random.default_rng(SEED).random(len(y)) >= 0.2
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), [len(r[1]) for r in rows])
+    names, feat = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
+    count = np.concatenate([r[2] for r in rows])
     use = fitted[doc]
-    n1, n0 = np.bincount(feat[use & (y[doc] == 1)], minlength=1 << BITS), np.bincount(feat[use & (y[doc] == 0)], minlength=1 << BITS)
+    n1, n0 = (np.bincount(feat[use & (y[doc] == label)], minlength=len(names)) for label in (1, 0))
     t1, t0 = max(1, (y[fitted] == 1).sum()), max(1, (y[fitted] == 0).sum())
     p1, p0 = (n1 + 0.05) / (t1 + 0.1), (n0 + 0.5) / (t0 + 1)
-    z = (np.log(p1) - np.log(p0)) * np.sqrt(n1 + 0.0)  # log-odds, as sure as the rows are many
+    z = (np.log(p1) - np.log(p0)) * np.sqrt(n1)  # log-odds, as sure as the rows are many
     z[n1 < LEAST_ROWS] = 0
     keep = np.argsort(-z, kind="stable")[:WORDS]
     keep = keep[z[keep] > 3]
     slot = np.full(1 << BITS, -1, np.int32)
-    slot[keep] = np.arange(len(keep))
+    slot[names[keep]] = np.arange(len(keep))
     strong = (z[keep] > 6) & (p1[keep] > 8 * p0[keep])
-    k = slot[feat]
+    k = slot[names][feat]
     here = k >= 0
     occurrences = np.bincount(doc[here], strong[k[here]] * count[here], minlength=len(y))
     grade = np.where(y == 1, np.clip(occurrences, 1, GRADES - 1), 0).astype(np.int64)
