@@ -1,8 +1,8 @@
 """Lexical retrieval packing: documents that share rare tokens are packed into the same training sequences.
 
 Each task takes its rows in shards of at most SHARD_TOKENS tokens (one document at least) and builds a BM25
-inverted index of the shard over token ids. The first unused document is a seed: its weightiest tokens query the
-index, and the unused neighbours follow it, best first, until the window is full; what the last one has left
+inverted index of the shard over token ids. The first unused document is a seed: all its tokens query the
+index, however common, and the unused neighbours follow it, best first, until the window is full; what the last one has left
 begins the next window and is the next seed. So the windows of a shard are full but for its last, which is cut
 into sequences of falling powers of two: nothing is padded. No row is shuffled and memory is that of a shard, so
 a lost executor costs its tasks only. Shards follow the input's partitions: a rerun over the same splits gives
@@ -19,7 +19,6 @@ import base64
 import re
 import zlib
 from array import array
-from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -33,7 +32,7 @@ from .common import slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 WINDOW, END_ID, SHARD_TOKENS = 2048, 1, 2 << 20
-K1, B, QUERY_TOKENS, MOST_POSTINGS = 1.2, 0.75, 12, 256
+K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 150_000, 40
 _beside_space = re.compile(r"\s | \s")
 
@@ -76,52 +75,60 @@ def tokenizer(vocabulary: str = VOCABULARY):
     return run
 
 
-@dataclass
 class Index:
-    """BM25 over the token ids of a shard."""
+    """BM25 over the token ids of a shard. All tokens of a document query for it, however common they are."""
 
-    weights: np.ndarray  # per posting, sorted by token
-    docs: np.ndarray
-    first: np.ndarray  # of each token's postings
-    tokens: np.ndarray
-    own: list[np.ndarray]  # per document the tokens (as places in `first`) that query for it
-
-    @classmethod
-    def of(cls, ids: list[np.ndarray]) -> Index:
-        n = len(ids)
+    def __init__(self, ids: list[np.ndarray]):
+        n = self.n = len(ids)
         doc = np.repeat(np.arange(n), [len(x) for x in ids])
         key = np.concatenate(ids).astype(np.int64) * n + doc
         key, tf = np.unique(key, return_counts=True)
-        token, at = np.divmod(key, n)
-        names, first, df = np.unique(token, return_index=True, return_counts=True)
+        token, self.docs = np.divmod(key, n)
+        first, df = np.unique(token, return_index=True, return_counts=True)[1:]
         lengths = np.array([len(x) for x in ids], float)
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        place = np.repeat(np.arange(len(names)), df)
-        weight = idf[place] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[at] / lengths.mean()))
-        # a document asks for the weightiest of its tokens that others have too, not too many of them
-        useful = np.flatnonzero((df[place] > 1) & (df[place] <= MOST_POSTINGS))
-        order = useful[np.lexsort((-weight[useful], at[useful]))]
-        bounds = np.searchsorted(at[order], np.arange(n + 1))
-        own = [place[order[a : min(b, a + QUERY_TOKENS)]] for a, b in zip(bounds[:-1], bounds[1:])]
-        return cls(weight, at, np.append(first, len(key)), names, own)
-
-    def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query token, best first."""
-        spans = [(self.first[t], self.first[t + 1]) for t in self.own[doc]]
+        place = np.repeat(np.arange(len(df)), df)
+        self.weights = idf[place] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / max(lengths.mean(), 1)))
+        self.first = np.append(first, len(key))  # of each token's postings
+        shared = np.flatnonzero(df[place] > 1)
+        shared = shared[np.argsort(self.docs[shared], kind="stable")]
+        self.own, self.begin = place[shared], np.searchsorted(self.docs[shared], np.arange(n + 1))  # each document's tokens
+        self.live = n
+
+    def neighbours(self, doc: int, used: np.ndarray, most: int) -> np.ndarray:
+        """The best unused documents that share a token, best first, the earlier ones at ties."""
+        tokens = self.own[self.begin[doc] : self.begin[doc + 1]]
+        spans = [slice(a, b) for a, b in zip(self.first[tokens].tolist(), self.first[tokens + 1].tolist())]
         if not spans:
             return np.zeros(0, np.int64)
-        found = np.concatenate([self.docs[a:b] for a, b in spans])
-        weight = np.concatenate([self.weights[a:b] for a, b in spans])
-        free = ~used[found]
-        found, back = np.unique(found[free], return_inverse=True)
-        return found[np.argsort(-np.bincount(back, weight[free], minlength=len(found)), kind="stable")]
-
-
-def order_of(ids: list[np.ndarray], window: int = WINDOW) -> list[int]:
-    """The order in which a shard's documents fill its windows."""
-    index, used, order = Index.of(ids), np.zeros(len(ids), bool), []
+        score = np.bincount(np.concatenate([self.docs[x] for x in spans]), np.concatenate([self.weights[x] for x in spans]), self.n)
+        score[used] = 0
+        found = np.flatnonzero(score)
+        if len(found) > most:
+            least = np.partition(score[found], len(found) - most)[len(found) - most]
+            above, equal = found[score[found] > least], found[score[found] == least]
+            found = np.sort(np.concatenate([above, equal[: most - len(above)]]))
+        return found[np.argsort(-score[found], kind="stable")]
+
+    def forget(self, used: np.ndarray, free: int) -> None:
+        """Postings of used documents go once these are half of those kept: free is how many are unused."""
+        if 2 * free > self.live:
+            return
+        keep = ~used[self.docs]
+        self.first = np.append(0, np.cumsum(keep))[self.first]
+        self.docs, self.weights, self.live = self.docs[keep], self.weights[keep], free
+
+
+def order_of(ids: list[np.ndarray], window: int = WINDOW, terms: list[np.ndarray] | None = None) -> list[int]:
+    """The order in which a shard's documents fill its windows. terms: what they are alike by, their ids if not given."""
+    index, used, order = Index(ids if terms is None else terms), np.zeros(len(ids), bool), []
     filled = free = 0
     seed, ranked = -1, iter(())
+
+    def near(doc: int):
+        index.forget(used, len(ids) - len(order))
+        return iter(index.neighbours(doc, used, window).tolist())  # no document is empty: so many fill the window
+
     while len(order) < len(ids):
         if seed < 0:
             while used[free]:
@@ -130,7 +137,7 @@ def order_of(ids: list[np.ndarray], window: int = WINDOW) -> list[int]:
             used[seed] = True
             order.append(seed)
             filled += len(ids[seed])
-            ranked = iter(()) if filled % window == 0 else iter(index.neighbours(seed, used).tolist())
+            ranked = iter(()) if filled % window == 0 else near(seed)
             if filled % window == 0:
                 seed = -1
             continue
@@ -143,7 +150,7 @@ def order_of(ids: list[np.ndarray], window: int = WINDOW) -> list[int]:
         before, filled = filled, filled + len(ids[nearest])
         if filled // window > before // window:  # it ends the window; its rest is the next seed
             seed = nearest if filled % window else -1
-            ranked = iter(index.neighbours(nearest, used).tolist()) if seed >= 0 else iter(())
+            ranked = near(nearest) if seed >= 0 else iter(())
     return order
 
 
@@ -161,7 +168,7 @@ def cuts(total: int, window: int = WINDOW) -> np.ndarray:
 def pack(docs: list[tuple[int | None, bytes]], first_sequence: int, window: int = WINDOW) -> tuple[pa.RecordBatch, int]:
     """The pieces of a shard and how many sequences they make."""
     ids = [np.frombuffer(b, "<u4") for _, b in docs]
-    order = np.array(order_of(ids, window))
+    order = np.array(order_of(ids, window, [x[:-1] for x in ids]))  # the end id is in all
     lengths = np.array([len(ids[i]) for i in order], np.int64)
     end = np.cumsum(lengths)
     begin = end - lengths

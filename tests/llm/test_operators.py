@@ -457,6 +457,32 @@ def test_packing_puts_like_with_like():
     assert np.mean([order[i] % 10 == order[i - 1] % 10 for i in range(1, 80)]) > 0.6
 
 
+def test_packing_finds_likes_by_common_tokens_too():
+    r = np.random.default_rng(8)
+    copy = r.integers(0, 5000, 60)
+    ids = [(copy if i % 3 == 0 else r.integers(5000, 40_000, 60)).astype(np.uint32) for i in range(1200)]  # 400 copies
+    order = packing.order_of(ids)
+    assert sorted(order) == list(range(1200))
+    assert np.mean([order[i - 1] % 3 == 0 for i in range(1, 1200) if order[i] % 3 == 0]) > 0.95
+
+
+def test_packing_takes_a_seed_s_best_by_all_its_tokens():
+    r = np.random.default_rng(9)
+    ids = [r.choice(300, 40).astype(np.uint32) for _ in range(300)]
+    n, terms = len(ids), [set(x.tolist()) for x in ids]
+    df = {t: sum(t in x for x in terms) for t in set().union(*terms)}
+    def score(d):
+        return sum(np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * (tf := np.sum(ids[d] == t)) * 2.2 / (tf + 1.2) for t in terms[0] & terms[d])
+    best = sorted(range(1, n), key=lambda d: (-round(score(d), 9), d))
+    assert packing.order_of(ids)[:50] == [0, *best[:49]]
+    index, used = packing.Index(ids), np.zeros(n, bool)
+    used[0] = True
+    assert index.neighbours(0, used, 20).tolist() == best[:20] == index.neighbours(0, used, n).tolist()[:20]
+    used[best[::3]] = used[np.arange(n) % 4 == 3] = True
+    index.forget(used, int(np.sum(~used)))
+    assert index.neighbours(0, used, n).tolist() == [d for d in best if not used[d] and terms[d] & terms[0]]
+
+
 @pytest.mark.parametrize("text", ["", " ", "a", "two  spaces", " lead", "trail ", "tab\t x", "line \n next", "don't you'll", "naïve café 漢字 🙂", "x y 　z", "12 345 6,7 %% --", "<|endoftext|> is text", "\x1c a \x1f", "a" * 500, "İstanbul ǅ ﬁ"])
 def test_ids_equal_those_of_the_tokenizers_file(encode, text):
     ids = np.frombuffer(packing.tokenizer()(text), "<u4").tolist()
