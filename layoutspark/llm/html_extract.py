@@ -1,7 +1,7 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf blocks of the DOM.
 
 A page is read once, tolerating broken markup: elements that HTML closes by itself are closed, scripts, styles and
-other unrendered elements are passed over, character references are decoded. Each stretch of text between block
+other unrendered elements (by name, a `hidden` attribute or display:none in their style) are passed over, character references are decoded. Each stretch of text between block
 boundaries is a leaf block. Its features are the tags and the words in class, id and role of its ancestors, and its
 own text (length, links, end, marks). The chain has two labels, main text or not; its weights are trained on labelled
 pages (`labelled_pages`) by gradient steps on the exact likelihood, and Viterbi decodes the best sequence. The
@@ -29,9 +29,9 @@ STEPS, RIDGE, RATE = 120, 0.3, 0.2
 
 # Element names of HTML by how a parser treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNRENDERED = frozenset("script style template noscript noframes noembed iframe svg math object canvas audio video head title xmp".split())
+UNRENDERED = frozenset("script style template noscript noframes noembed iframe svg object canvas audio video head title xmp".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: An element that begins closes an open one of these, unless one of the walls lies between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "body": ({"head"}, set())}
@@ -55,7 +55,10 @@ for _name, _words in HINTS.items():
 
 _markup = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _named = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_hidden = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none""", re.I)
+_attribute = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
+_maybe_hidden = re.compile(r"hidden|style", re.I)
+_style_parts = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|\((?:[^()"']|"[^"]*"|'[^']*')*\)""", re.S)
+_no_display = re.compile(r"\s*none\s*(?:!\s*important\s*)?", re.I)
 _split = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -78,6 +81,26 @@ def _frame(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+@lru_cache(65536)
+def _hidden(attributes: str) -> bool:
+    """Whether an element isn't rendered: a `hidden` attribute (not until-found), or display:none in its style."""
+    if not _maybe_hidden.search(attributes):
+        return False
+    seen: dict[str, str] = {}
+    for m in _attribute.finditer(attributes):
+        seen.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))  # the first of a name holds
+    if "hidden" in seen and unescape(seen["hidden"]).strip().lower() != "until-found":
+        return True
+    display, held = "", False
+    for declared in _style_parts.sub(lambda m: " " if m[0].startswith("/*") else "_", unescape(seen.get("style", ""))).split(";"):
+        name, _, value = declared.partition(":")
+        if name.strip().lower() == "display":
+            important = value.lower().replace(" ", "").endswith("!important")
+            if important or not held:  # the last holds, but for an important one
+                display, held = value, important
+    return bool(_no_display.fullmatch(display))
+
+
 def _own(text: str, linked: int, tag: str) -> list[str]:
     words = text.count(" ") + 1
     share = linked / len(text)
@@ -173,7 +196,7 @@ def leaf_blocks(html: str) -> list[Block]:
             flush()
         if tag in VOID or attributes.endswith("/") and tag in ("path", "circle", "rect", "use"):
             continue
-        passed = tag in UNRENDERED or (bool(attributes) and bool(_hidden.search(attributes)))
+        passed = tag in UNRENDERED or (bool(attributes) and _hidden(attributes))
         if tag in RAW:
             if lowered is None:
                 lowered = html.lower()

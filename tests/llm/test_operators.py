@@ -224,6 +224,25 @@ def test_extract_odd_pages(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def words_of(html):
+    return " ".join(b.text for b in html_extract.leaf_blocks(html))
+
+
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', 'class="hidden-xs"', 'class="hidden"', 'aria-hidden="false"', 'href="/hidden-gems"', 'title="The hidden city"', 'title="x hidden y"', "data-hidden", "hidden=until-found", 'hidden="Until-Found"', 'style="color:red;visibility:hidden"', 'title="display:none"', 'style="--display:none"', 'style="background:url(a;display:none)"', 'style="/* display:none */"', 'style="display:none;display:block"', 'title=">" class="hidden"', 'title=""hidden""', 'class="a" title=\'hidden\''])
+def test_rendered_text_is_kept(attributes):
+    assert words_of(f"<p>One <span {attributes}>two</span> three.") == "One two three."
+    assert words_of(f"<article {attributes}><p>Text.</p></article>") == "Text."
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", "hidden=''", 'hidden="hidden"', "class=a hidden id=b", 'class="a"hidden', 'style="display:none"', 'style="color:red; Display : None !important;"', "style=display:none", 'style="display:none!important;display:block"'])
+def test_unrendered_text_is_passed_over(attributes):
+    assert words_of(f"<p>One <span {attributes}>two</span> three.") == "One three."
+
+
+def test_math_is_rendered():
+    assert words_of("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.") == "So x=2 holds."
+
+
 # --- 6: mixing ----------------------------------------------------------------------------------------
 
 
