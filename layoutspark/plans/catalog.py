@@ -444,8 +444,8 @@ def keyword_hits(spark, d):
 _WORDS_SQL = "w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS token FROM documents WHERE text IS NOT NULL)"
 
 
-def _tokens(spark, d):
-    return ad.read(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[a-zA-Z]+"), F.lit(0))).alias("token")).distinct()
+def _tokens(spark, d, word="[a-zA-Z]+"):
+    return ad.read(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(word), F.lit(0))).alias("token")).distinct()
 
 
 @query(f"WITH {_WORDS_SQL} SELECT token FROM w WHERE lower(token) IN ({', '.join(repr(x) for x in correction.LEXICON)})")
@@ -462,7 +462,7 @@ def edit_prefilter(spark, d):
 
 @query()
 def corrections(spark, d):
-    return correction.suggestions(_tokens(spark, d), F.broadcast(correction.lexicon(spark)))
+    return correction.suggestions(_tokens(spark, d, r"(?U)\w+"), F.broadcast(correction.lexicon(spark)))
 
 
 @query()

@@ -275,3 +275,11 @@ def test_entry_imports_without_the_llm_folders(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and not any(k.startswith('op') for k in q) and len(q) > 50; e.oracle_sql()"
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True).returncode == 0
+
+
+def test_corrections_take_unicode_words(spark, tmp_path):
+    from layoutspark.plans import catalog
+
+    spark.createDataFrame([(1, "Bir öğrencı geldi, réeaution."), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [(r.token, r.suggestion) for r in catalog.corrections(spark, str(tmp_path)).collect()] == [("öğrencı", "öğrenci")]
+    assert {r.token for r in catalog._tokens(spark, str(tmp_path), r"(?U)\w+").collect()} == {"Bir", "öğrencı", "geldi", "réeaution"}
