@@ -277,6 +277,13 @@ def test_entry_imports_without_the_llm_folders(tmp_path):
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True).returncode == 0
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 100 + "b", "<b class='" + "x" * 90 + "'>ab</b>"])
+def test_a_block_is_short_by_its_cleaned_text(spark, text):
+    assert len(t.clean_ocr_text(text).strip()) <= 18
+    rows = lines(spark, [("A long line of text that stays as it is", 0, 0, 300, 30), (text, 0, 40, 300, 70)]).withColumn("root", F.col("line_no").cast("long"))
+    assert {r.root for r in tb.absorb_short(rows).collect()} == {0}
+
+
 def test_corrections_take_unicode_words(spark, tmp_path):
     from layoutspark.plans import catalog
 
