@@ -9,7 +9,8 @@ recipes travel from then on, never a long text again.
 
 Null texts count as empty and have the empty recipe. Rows that share a doc_id share the verdict: every row of a
 group whose doc_id is the group's largest stays. A null doc_id is smaller than any other; if a group has only
-null ids, all its rows stay. Other columns are not read, so their names may clash with ours.
+null ids, all its rows stay. Long texts are cut like others and travel once, as chunks of MAX_CHARS at most; an empty
+table gives no rows. Other columns are not read, so their names may clash with ours.
 """
 
 from __future__ import annotations

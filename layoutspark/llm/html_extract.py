@@ -1,13 +1,16 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf blocks of the DOM.
 
-A page is read once, tolerating broken markup: elements that HTML closes by itself are closed, scripts, styles and
-other unrendered elements (by name, a `hidden` attribute or display:none in their style) are passed over, character references are decoded. Each stretch of text between block
-boundaries is a leaf block. Its features are the tags and the words in class, id and role of its ancestors, and its
+A page is read once, in time linear in its length whatever its markup: elements that HTML closes by itself are closed,
+scripts, styles and other unrendered elements (by name, a `hidden` attribute or display:none in their style) are
+passed over, character references are decoded; a tag that the page doesn't end is no text, as in browsers. Each stretch
+of text between block boundaries is a leaf block. Its features are the tags and the words in class, id and role of its ancestors, and its
 own text (length, links, end, marks). The chain has two labels, main text or not; its weights are trained on labelled
 pages (`labelled_pages`) by gradient steps on the exact likelihood, and Viterbi decodes the best sequence. The
 main text is the blocks of that label, in page order, joined by one space.
 
-Null and empty html give the empty text. Repeated pages and ids are rows like others. Nothing is capped or cut.
+Null and empty html give the empty text, an empty table no rows. Repeated pages and ids are rows like others. Nothing
+is capped or cut: a long page is held whole in memory, the pages of a batch in pieces. Of two best label sequences the
+one with fewer main blocks from the end wins. Only id, url and html are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .labelled_pages import labelled_pages
 
 STEPS, RIDGE, RATE = 120, 0.3, 0.2
@@ -35,6 +39,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: An element that begins closes an open one of these, unless one of the walls lies between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "body": ({"head"}, set())}
+P_WALLS = ("button", "table", "td", "th", "li", "div", "section", "article", "aside")
 #: Words in class, id and role that sites use, by what they name.
 HINTS = {
     "ad": "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner",
@@ -53,7 +58,9 @@ for _name, _words in HINTS.items():
     for _word in _words.split():
         _hint_of.setdefault(_word, []).append(_name)
 
-_markup = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_name = re.compile(r"[a-zA-Z][^\s/>]*")
+_to_value = re.compile(r"[^>=]*")
+_spaces = re.compile(r"\s*")
 _named = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _attribute = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
 _maybe_hidden = re.compile(r"hidden|style", re.I)
@@ -62,14 +69,31 @@ _no_display = re.compile(r"\s*none\s*(?:!\s*important\s*)?", re.I)
 _split = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Above:
+    """What the ancestors of a block give it: the features that one of them is the first to have, and the ancestors of that one."""
+
+    __slots__ = ("own", "up")
+
+    def __init__(self, own: tuple[str, ...], up: Above | None):
+        self.own, self.up = own, up
+
+
 @dataclass
 class Block:
     text: str
-    features: tuple[str, ...]
+    own: tuple[str, ...]
+    above: Above | None
 
+    @property
+    def features(self) -> tuple[str, ...]:
+        chain, at = [], self.above
+        while at:
+            chain.append(at.own)
+            at = at.up
+        return (*self.own, *(f for own in reversed(chain) for f in own))
 
-@lru_cache(65536)
-def _frame(tag: str, attributes: str) -> tuple[str, ...]:
+
+def _frame_of(tag: str, attributes: str) -> tuple[str, ...]:
     """The features that an element gives to the blocks in it."""
     out = [f"in:{tag}"]
     if attributes:
@@ -81,7 +105,13 @@ def _frame(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
-@lru_cache(65536)
+_known_frame = lru_cache(8192)(_frame_of)
+
+
+def _frame(tag: str, attributes: str) -> tuple[str, ...]:
+    return _known_frame(tag, attributes) if len(attributes) + len(tag) < 200 else _frame_of(tag, attributes)
+
+
 def _hidden(attributes: str) -> bool:
     """Whether an element isn't rendered: a `hidden` attribute (not until-found), or display:none in its style."""
     if not _maybe_hidden.search(attributes):
@@ -116,16 +146,69 @@ def _own(text: str, linked: int, tag: str) -> list[str]:
     return out
 
 
+def _tag_end(html: str, at: int, last_quote: dict[str, int]) -> int:
+    """Where the tag whose attributes begin at `at` has its `>`, -1 if it has none. A quoted value may hold one; a quote that nothing closes is a letter."""
+    while True:
+        at = _to_value.match(html, at).end()
+        if at >= len(html):
+            return -1
+        if html[at] == ">":
+            return at
+        at = _spaces.match(html, at + 1).end()  # behind the equals sign
+        quote = html[at : at + 1]
+        if quote and quote in last_quote and last_quote[quote] > at:
+            at = html.index(quote, at + 1) + 1
+
+
+class Elements:
+    """The open elements of a page, with what is asked of them in constant time."""
+
+    def __init__(self):
+        self.open: list[tuple[str, tuple[str, ...], bool, str, Above | None]] = []  # tag, features, passed over, block tag, above
+        self.places: dict[str, list[int]] = {}
+        self.seen: dict[str, int] = {}  # how many open elements have a feature
+        self.passed = 0
+
+    def push(self, tag: str, features: tuple[str, ...], passed: bool) -> None:
+        new = tuple(f for f in features if not self.seen.get(f))
+        for f in features:
+            self.seen[f] = self.seen.get(f, 0) + 1
+        above = Above(new, self.above) if new else self.above
+        block = self.block if tag in INLINE else tag
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, features, passed, block, above))
+        self.passed += passed
+
+    def pop(self) -> None:
+        tag, features, passed, _, _ = self.open.pop()
+        self.places[tag].pop()
+        for f in features:
+            self.seen[f] -= 1
+        self.passed -= passed
+
+    @property
+    def above(self) -> Above | None:
+        return self.open[-1][4] if self.open else None
+
+    @property
+    def block(self) -> str:
+        return self.open[-1][3] if self.open else "none"
+
+    def place(self, tag: str) -> int:
+        """Of the innermost open element of the name; -1 if there is none."""
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def innermost(self, tags) -> int:
+        return max((self.place(t) for t in tags), default=-1)
+
+
 def leaf_blocks(html: str) -> list[Block]:
     """The leaf blocks of a page in page order, each with its features."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = []  # tag, features, whether its text is passed over
+    els = Elements()
     text: list[str] = []
     linked = 0
-    at = 0
-    skip = 0  # open elements whose text is passed over
-    links = 0
-    known: dict[tuple, tuple[str, ...]] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -133,65 +216,74 @@ def leaf_blocks(html: str) -> list[Block]:
             whole = " ".join(unescape("".join(text)).split())
             text.clear()
             if whole:
-                key = tuple(x[1] for x in stack)
-                above = known.get(key)
-                if above is None:
-                    above = known[key] = tuple(dict.fromkeys(f for fs in key for f in fs))
-                tag = next((x[0] for x in reversed(stack) if x[0] not in INLINE), "none")
-                blocks.append(Block(whole, (*_own(whole, min(linked, len(whole)), tag), *above)))
+                blocks.append(Block(whole, tuple(_own(whole, min(linked, len(whole)), els.block)), els.above))
         linked = 0
 
     def pop_to(i: int) -> None:
-        nonlocal skip, links
-        if any(x[0] not in INLINE for x in stack[i:]):
+        if any(x[0] not in INLINE for x in els.open[i:]):
             flush()
-        for tag, _, passed in stack[i:]:
-            skip -= passed
-            links -= tag == "a"
-        del stack[i:]
+        while len(els.open) > i:
+            els.pop()
 
-    end = len(html)
+    def close(closed, walls) -> None:
+        i = els.innermost(closed)
+        if i >= 0 and i > els.innermost(walls):
+            pop_to(i)
+
+    def say(a: int, b: int) -> None:
+        nonlocal linked
+        if b > a and not els.passed:
+            text.append(html[a:b])
+            if els.places.get("a"):
+                linked += b - a
+
+    at, end = 0, len(html)
     lowered = None
+    last_quote = {q: html.rfind(q) for q in "\"'"}
     while at < end:
-        m = _markup.search(html, at)
-        stop = m.start() if m else end
-        if stop > at and not skip:
-            text.append(html[at:stop])
-            if links:
-                linked += stop - at
-        if not m:
+        start = html.find("<", at)
+        if start < 0:
+            say(at, end)
             break
-        at = m.end()
-        if m.lastindex is None:
-            if not skip and m[0].startswith("<![CDATA["):
-                text.append(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+        say(at, start)
+        at = start
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 2)
+            at = end if stop < 0 else stop + 3
+            continue
+        if html.startswith("<![CDATA[", at):
+            stop = html.find("]]>", at)
+            stop = end if stop < 0 else stop
+            if not els.passed:
+                text.append(html[at + 9 : stop].replace("&", "&amp;"))
+            at = stop + 3
             continue
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] is not None else (m[4], m[5], m[6])
-        tag = tag.lower()
+        if html[at + 1 : at + 2] in ("!", "?"):
+            stop = html.find(">", at)
+            at = end if stop < 0 else stop + 1
+            continue
+        closing = html.startswith("/", at + 1)
+        named = _name.match(html, at + 1 + closing)
+        if not named:
+            say(at, at + 1)
+            at += 1
+            continue
+        stop = _tag_end(html, named.end(), last_quote)
+        if stop < 0:
+            break
+        tag, attributes = named[0].lower(), html[named.end() : stop]
+        at = stop + 1
         if closing:
-            if tag == "p" and not any(x[0] == "p" for x in stack) or tag == "br":
+            i = els.place(tag)
+            if tag == "p" and i < 0 or tag == "br":
                 flush()
-                continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
+            elif i >= 0:
+                pop_to(i)
             continue
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    pop_to(i)
-                    break
-                if stack[i][0] in ("button", "table", "td", "th", "li", "div", "section", "article", "aside"):
-                    break
+            close(("p",), P_WALLS)
         if tag in CLOSES:
-            closed, walls = CLOSES[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in walls:
-                    break
-                if stack[i][0] in closed:
-                    pop_to(i)
-                    break
+            close(*CLOSES[tag])
         if tag not in INLINE:
             flush()
         if tag in VOID or attributes.endswith("/") and tag in ("path", "circle", "rect", "use"):
@@ -202,19 +294,15 @@ def leaf_blocks(html: str) -> list[Block]:
                 lowered = html.lower()
                 if len(lowered) != end:  # a letter's lower case may be longer
                     lowered = "".join(c.lower() if c < "\x80" else c for c in html)
-            close = lowered.find(f"</{tag}", at)
-            if tag == "textarea" and not skip:
-                text.append(html[at : close if close >= 0 else end])
-                stack.append((tag, _frame(tag, attributes), False))
-                pop_to(len(stack) - 1)
-            at = end if close < 0 else close
-            if close >= 0:
-                shut = html.find(">", close)
-                at = end if shut < 0 else shut + 1
+            shut = lowered.find(f"</{tag}", at)
+            if tag == "textarea" and not els.passed:
+                text.append(html[at : shut if shut >= 0 else end])
+                els.push(tag, _frame(tag, attributes), False)
+                pop_to(len(els.open) - 1)
+            stop = html.find(">", shut) if shut >= 0 else -1
+            at = end if stop < 0 else stop + 1
             continue
-        skip += passed
-        links += tag == "a"
-        stack.append((tag, _frame(tag, attributes), passed))
+        els.push(tag, _frame(tag, attributes), passed)
     pop_to(0)
     flush()
     return blocks
@@ -234,14 +322,26 @@ class Chain:
         (t00, t01), (t10, t11) = self.step_rows[:2]
         back: list[tuple[int, int]] = []
         s0, s1 = 0.0, 0.0
-        for n, b in enumerate(blocks):
-            e0 = e1 = 0.0
-            for f in b.features:
+
+        def add(features: tuple[str, ...], e: tuple[float, float]) -> tuple[float, float]:
+            e0, e1 = e
+            for f in features:
                 i = place.get(f)
                 if i is not None:
                     w = state[i]
                     e0 += w[0]
                     e1 += w[1]
+            return e0, e1
+
+        given: dict[Above | None, tuple[float, float]] = {None: (0.0, 0.0)}  # each ancestor adds up once
+        for n, b in enumerate(blocks):
+            at, todo = b.above, []
+            while at not in given:
+                todo.append(at)
+                at = at.up
+            for at in reversed(todo):
+                given[at] = add(at.own, given[at.up])
+            e0, e1 = add(b.own, given[b.above])
             if not n:
                 s0, s1 = self.step_rows[2][0] + e0, self.step_rows[2][1] + e1
                 continue
@@ -352,8 +452,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(h, model.value) for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+            for part in slices(batch, "html"):
+                texts = [main_text(h, model.value) for h in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

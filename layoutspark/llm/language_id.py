@@ -11,7 +11,9 @@ For each row, log P(language) adds up four kinds of evidence:
 
 Documents have their source as host and no markup or address. Null texts, declarations and addresses are missing
 evidence, which adds nothing. With no labelled document there is no language and `lang` is null. Ties go to the
-language whose name is first. Repeated rows are rows like others (they count in the host priors).
+language whose name is first. Repeated rows are rows like others (they count in the host priors). Empty texts have
+no evidence of their own; long ones are used whole, their evidence tempered. Empty tables give no rows. Only the named
+columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, lowered, materialize, slices
+from .common import block_sums, buffers, lowered, materialize, packed, slices
 from .stats import bounded_sample
 
 BITS, SAMPLE, SMOOTH, TEMPER_AT = 17, 4_000, 0.5, 60.0
@@ -79,18 +81,27 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Likelihood:
     """From (doc_id, text, lang): trigram counts per language over a bounded sample, summed on the executors."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     chosen = bounded_sample(known.select("doc_id").distinct(), sample).select(F.col("doc_id").alias("chosen"))
-    texts = known.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("lang", F.col("text").alias("t"))
-
-    def count(table: pa.Table) -> pa.Table:
-        total = np.zeros(1 << BITS)
-        for chunk in table.to_batches():
-            for part in slices(chunk, "t"):
-                ids, _ = trigram_ids(part.column("t"))
-                total += np.bincount(ids[ids >= 0], minlength=1 << BITS)
-        return pa.table({"lang": table.column("lang").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})
-
-    found = sorted(texts.groupBy("lang").applyInArrow(count, "lang string, v binary").collect(), key=lambda r: r["lang"])
-    return Likelihood([r["lang"] for r in found], np.array([np.frombuffer(bytes(r["v"])) for r in found]).reshape(len(found), 1 << BITS))
+    texts = known.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("lang", F.col("text").alias("t"))  # at most `sample` ids
+    names = sorted(r["lang"] for r in texts.select("lang").distinct().collect())  # as many as sampled rows, at most
+    place = {x: i for i, x in enumerate(names)}
+
+    def count(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part in slices(batch, "t"):
+                ids, start = trigram_ids(part.column("t"))
+                ends = np.append(start[1:], len(ids))
+                for lang, a, b in zip(part.column("lang").to_pylist(), start.tolist(), ends.tolist()):
+                    own = ids[a:b]
+                    i = place[lang]
+                    if i not in sums:
+                        sums[i] = np.zeros(1 << BITS)
+                    sums[i] += np.bincount(own[own >= 0], minlength=1 << BITS)
+        for i, v in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(v)], pa.binary())], ["i", "v"])
+
+    found = block_sums(texts.mapInArrow(count, "i int, v binary"))
+    return Likelihood(names, np.array([found[i] for i in range(len(names))]).reshape(len(names), 1 << BITS))
 
 
 def visible(html: str) -> str:

@@ -9,7 +9,9 @@ A document is emitted floor(rate) times, rate being target / source size, and on
 its id and the seed hash to lies below the fraction of the rate. So a rerun gives the same rows, and no document
 comes more than CAP times. Null and wordless texts have size 0 and take nothing whatever the rate; if no text has
 a word, all targets are 0. Repeated rows are rows like others and share the draw of their id; a null id draws as
-the word null. Only id, text and source are read, so other columns may have any name.
+the word null. Ties of the level go by the order of the sources. Long texts are counted whole, an empty table gives
+no rows. Only id, text and source are read, so other columns may have any name. The windows that find the level see a
+row per source in one task: MOST_SOURCES rows are allowed there, more are an error (a source isn't meant to be a host).
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from .common import WORD, checked_broadcast, materialize
 
 CAP = 3
 SEED = "mix-1"
+MOST_SOURCES = 1_000_000
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -32,7 +35,9 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def targets(sized: DataFrame, cap: int = CAP) -> DataFrame:
     """(source, source_size, target) of each source. Windows are over sources alone, a row each."""
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
+    if len(per.limit(MOST_SOURCES + 1).select(F.lit(1)).offset(MOST_SOURCES).take(1)):
+        raise ValueError(f"over {MOST_SOURCES} sources")
     by_name, by_level = W.orderBy(F.col("source").asc_nulls_last()), W.orderBy("level", "rank")
     rest, every = by_level.rowsBetween(W.currentRow, W.unboundedFollowing), W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     ranked = per.withColumn("rank", F.row_number().over(by_name)).withColumn("weight", (F.col("rank") - 1) % 3 + 1)

@@ -9,13 +9,16 @@ a lost executor costs its tasks only. Shards follow the input's partitions: a re
 the same sequences.
 
 A null text is empty: its one id is the end id. Repeated rows are packed as often as they come. Ties of score go to
-the earlier row. Special strings of the vocabulary in a text are ordinary text. Ids come from the rank file of the
-vocabulary, word by word with a bounded cache: they equal those of its tokenizers file (tests compare them).
+the earlier row. A text longer than a window goes on in the next ones; one longer than a shard is a shard. An empty
+table gives no rows. Only the id and the text are read, so other columns may have any name. Ids come from the rank file
+of the vocabulary, word by word with a bounded cache, after the added tokens of its tokenizers file are cut out as that
+file says: they equal what tokenizers makes of it (tests compare them).
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from array import array
@@ -30,22 +33,22 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 WINDOW, END_ID, SHARD_TOKENS = 2048, 1, 2 << 20
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 150_000, 40
-_beside_space = re.compile(r"\s | \s")
+_white_pair = re.compile(r"\s\s")
 
 
 class Words(dict):
-    """Ids (as bytes) of a space and a word, kept for short words up to a bound."""
+    """Ids (as bytes) of a word behind a space, or with its line break before it; kept for short words up to a bound."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I", self.encode(" " + word)).tobytes()
+        ids = array("I", self.encode(word if word[:1] == "\n" else " " + word)).tobytes()
         if len(word) <= CACHE_CHARS:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -53,25 +56,45 @@ class Words(dict):
         return ids
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The strings that a tokenizers file cuts out of a text before anything else, with their ids."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file).get("added_tokens") or []
+    if any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in found):
+        raise ValueError("added tokens that take in white space or need word bounds aren't known")
+    return {x["content"]: x["id"] for x in found}
+
+
 @lru_cache(2)
 def tokenizer(vocabulary: str = VOCABULARY):
-    """text -> its ids as little-endian 32-bit bytes. vocabulary: a file of the public tokenizers, or a path of one."""
+    """text -> its ids as little-endian 32-bit bytes. vocabulary: a tokenizers file of the public ones, or a path of one; its rank file lies beside it."""
     import public_tokenizers
     import tiktoken
 
     path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
-    with open(path, "rb") as lines:
+    with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     cached = Words(encode)
+    added = {k: array("I", [v]).tobytes() for k, v in added_tokens(path).items()}
+    apart = re.compile("|".join(re.escape(x) for x in sorted(added, key=len, reverse=True))) if added else None
 
-    def run(text: str) -> bytes:
-        # No token spans the place before a single space that no white space is next to, so words can be encoded one by one.
-        if _beside_space.search(text):
+    def plain(text: str) -> bytes:
+        # No token spans the place before a space or a line break that no white space is next to, so words can be encoded one by one.
+        if _white_pair.search(text):
             return array("I", encode(text)).tobytes()
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         return array("I", encode(first)).tobytes() + b"".join(map(cached.__getitem__, rest))
 
+    def run(text: str) -> bytes:
+        if apart is None or not apart.search(text):
+            return plain(text)
+        out, at = [], 0
+        for m in apart.finditer(text):
+            out += [plain(text[at : m.start()]), added[m[0]]]
+            at = m.end()
+        return b"".join([*out, plain(text[at:])])
+
     return run
 
 

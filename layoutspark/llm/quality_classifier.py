@@ -7,8 +7,10 @@ size. Scores of the training rows are then made monotone in the label rate by po
 BINS quantile bins (counts per bin, summed likewise), which gives a score between 0 and 1.
 
 Labels are learnt only from ids whose crc32 modulo 5 isn't 0. Neither labels, lang, source nor ids enter a score.
-Null and empty texts have statistics of 0 and are scored like others. Without training rows all scores are 0.5;
-with one kind of label, that label's rate. Repeated rows get the same score.
+Statistics further than CLIP spreads from the mean count as that far. Null and empty texts have statistics of 0 and
+are scored like others. Without training rows all scores are 0.5; with one kind of label, that label's rate. Repeated
+rows and ties of statistics get the same score; an empty table gives no rows. Long texts are used whole, one at a time
+if need be. Only the id and the text of documents are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import block_sums, materialize, packed
 from .stats import FEATURES, matrix, one_label, stats
 
-FEATURES_OUT, RIDGE, GAMMA, SEED, BINS, CUT = 384, 1.0, 0.06, 23, 64, 0.3
+FEATURES_OUT, RIDGE, GAMMA, SEED, BINS, CUT, CLIP = 384, 1.0, 0.06, 23, 64, 0.3, 8.0
 FOLDS = 5
+#: Pieces that a matrix is summed in, each by tasks of its own.
+BLOCKS = 16
 
 
 def held_out(id_col: str = "doc_id"):
@@ -41,13 +45,14 @@ class Fourier:
         self.phase = rng.uniform(0, 2 * np.pi, n)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.spread, -8, 8)
+        z = np.clip((x - self.mean) / self.spread, -CLIP, CLIP)
         out = np.cos(z @ self.w + self.phase) * np.sqrt(2 / len(self.phase))
         return np.hstack([np.ones((len(x), 1)), out])
 
 
-def _summed(rows: DataFrame, part, width: int, blocks: int) -> np.ndarray | None:
-    """The sum of part(batch), a matrix of blocks x width, over all batches: per partition, then per block on the executors."""
+def _summed(rows: DataFrame, part, width: int, height: int) -> np.ndarray | None:
+    """The sum of part(batch), a matrix of height x width, over all batches: per partition, then on the executors in two levels."""
+    pieces = min(height, BLOCKS)
 
     def partition(batches):
         total = None
@@ -56,16 +61,11 @@ def _summed(rows: DataFrame, part, width: int, blocks: int) -> np.ndarray | None
                 m = part(batch)
                 total = m if total is None else total + m
         if total is not None:
-            for i, row in enumerate(np.array_split(total, min(len(total), 16))):
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([row.tobytes()], pa.binary())], ["i", "v"])
+            for i, piece in enumerate(np.array_split(total, pieces)):
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(piece)], pa.binary())], ["i", "v"])
 
-    def add(table: pa.Table) -> pa.Table:
-        return pa.table({"i": table.column("i").slice(0, 1), "v": pa.array([sum(np.frombuffer(v) for v in table.column("v").to_pylist()).tobytes()], pa.binary())})
-
-    found = rows.mapInArrow(partition, "i int, v binary").groupBy("i").applyInArrow(add, "i int, v binary").collect()
-    if not found:
-        return None
-    return np.concatenate([np.frombuffer(bytes(r["v"])) for r in sorted(found, key=lambda r: r["i"])]).reshape(blocks, width)
+    found = block_sums(rows.mapInArrow(partition, "i int, v binary"))
+    return np.concatenate([found[i] for i in range(pieces)]).reshape(height, width) if found else None
 
 
 def isotonic(total: np.ndarray, ones: np.ndarray) -> np.ndarray:

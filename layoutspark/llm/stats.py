@@ -25,23 +25,30 @@ def _sums(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return c[end] - c[start]
 
 
-def repeated_words(w: Words, hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Per text, its words in windows of so many words that the text has twice or more (the first one too)."""
-    n = len(hashes)
+def repeated_words(w: Words, ids: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Per text, its words in windows of so many words that the text has twice or more (the first one too).
+
+    ids: a number per word, the same just for equal words. Windows of one hash are compared word by word.
+    """
+    n = len(ids)
     covered = np.zeros(n + 1, np.int64)
     if n >= window:
         key = np.zeros(n - window + 1, np.uint64)
         for j in range(window):
-            key = mix(key * _K + hashes[j : n - window + 1 + j])
-        key ^= mix(w.text[: len(key)].astype(np.uint64) + np.uint64(1))  # windows of different texts never meet
+            key = mix(key * _K + ids[j : n - window + 1 + j].astype(np.uint64))
+        key ^= mix(w.text[: len(key)].astype(np.uint64) + np.uint64(1))  # windows of different texts don't meet
         fits = np.flatnonzero(w.text[: len(key)] == w.text[window - 1 :])
         key = key[fits]
-        order = np.argsort(key)
-        same = key[order][1:] == key[order][:-1]
-        twice = np.zeros(len(key), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        at = fits[twice]
+        order = np.argsort(key, kind="stable")
+        near = np.flatnonzero(key[order][1:] == key[order][:-1])
+        a, b = fits[order[near]], fits[order[near + 1]]
+        if all(np.array_equal(ids[a + j], ids[b + j]) for j in range(window)) and np.array_equal(w.text[a], w.text[b]):
+            at = np.unique(np.concatenate([a, b]))
+        else:  # two windows of one hash aren't equal
+            seen: dict[tuple, list[int]] = {}
+            for i in fits.tolist():
+                seen.setdefault((int(w.text[i]), *ids[i : i + window].tolist()), []).append(i)
+            at = np.array(sorted(i for places in seen.values() if len(places) > 1 for i in places), np.int64)
         np.add.at(covered, at, 1)
         np.add.at(covered, at + window, -1)
     inside = np.cumsum(covered[:n]) > 0
@@ -58,8 +65,8 @@ def text_stats(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
     table[list(SYMBOLS)] = True
     a, b = w.text_start, w.text_end
     n_symbols = _sums(table[w.data], a, b)
-    hashes = w.hashes()
-    n_repeat = repeated_words(w, hashes)
+    ids = w.ids(w.hashes())
+    n_repeat = repeated_words(w, ids)
     n_texts = len(a)
     n_dup, n_lines, short = np.zeros(n_texts, np.int64), np.zeros(n_texts, np.int64), np.zeros(n_texts, np.int64)
     raw = w.data.tobytes()
@@ -76,8 +83,8 @@ def text_stats(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
                 few += len(line) < 30
         n_dup[i], n_lines[i], short[i] = dup, full, few
     distinct, top = np.zeros(n_texts, np.int64), np.zeros(n_texts, np.int64)
-    if len(hashes):
-        key = hashes ^ mix(w.text.astype(np.uint64) + np.uint64(7))
+    if len(ids):
+        key = w.text * (int(ids.max()) + 1) + ids
         order = np.argsort(key)
         sk, st = key[order], w.text[order]
         head = np.flatnonzero(np.concatenate([[True], sk[1:] != sk[:-1]]))

@@ -17,11 +17,13 @@ Windows that are equal choose equal anchors at the same place, so suffixes at an
    earliest are repeats.
 4. Each document gets its repeated ranges, whose union is taken away.
 
-Matches are exact: bytes are compared, hashes only choose anchors and parts. Null texts are empty. Documents are
-ordered by doc_id, a null one first; rows that share a doc_id are ordered by a hash of their text, and if the text is
-equal too, they are one document (no row of it is a repeat of the other).
-Memory is that of a run or of a part: a part's suffixes of one K-byte string are held together, once per task and
-different context.
+Matches are exact: bytes are compared, hashes only choose anchors and parts. An anchor depends on its window alone,
+whatever stands around it. Null texts are empty. Documents are ordered by doc_id, a null one first; rows that share a
+doc_id are ordered by a hash of their text, and if the text is equal too, they are one document (no row of it is a
+repeat of the other). Ties of places can't be: a place is one. An empty table gives no rows; only id and text are read,
+so other columns may have any name. Long texts are read in blocks; memory is that of a text, of a run or of a part, and
+the parts grow in number with the places to look at. A part's suffixes of one K-byte string are held together, once per
+task and different context.
 """
 
 from __future__ import annotations
@@ -35,15 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, slices
+from .common import buffers, materialize, mix, slices
 
 LENGTH, K = 100, 24
-RUN_ROWS, COUNT_ROWS, PART_FACTOR = 200_000, 400_000, 4
+RUN_ROWS, COUNT_ROWS, PART_FACTOR, PART_ROWS = 200_000, 400_000, 4, 100_000
+#: Bytes of data that anchors are looked for in at once, and anchors that are cut out at once.
+BLOCK, CUT_ROWS = 1 << 21, 20_000
 _rng = np.random.default_rng(5)
 _TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
 _ODD = _rng.integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-META = np.dtype([("did", "<i8"), ("th", "<i4"), ("pos", "<i4"), ("right", "u1"), ("left", "u1")])
-SPAN = np.dtype([("did", "<i8"), ("th", "<i4"), ("lo", "<i4"), ("hi", "<i4")])
+META = np.dtype([("did", "<i8"), ("th", "<i8"), ("pos", "<i4"), ("right", "u1"), ("left", "u1")])
+SPAN = np.dtype([("did", "<i8"), ("th", "<i8"), ("lo", "<i4"), ("hi", "<i4")])
 #: Stands for a null doc_id, before all others.
 NULL_ID = -(2**63)
 
@@ -72,39 +76,48 @@ def rolled(data: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def anchors(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int = LENGTH, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-    """Places (ascending) and hashes of the anchors of all windows that lie within a text."""
-    if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = rolled(data, k)
-    shift = np.uint64(max(1, int(len(h)).bit_length()))
-    least = (h >> shift << shift) | np.arange(len(h), dtype=np.uint64)
-    w, span = length - k + 1, 1
-    while span * 2 <= w:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < w:
-        least = np.minimum(least[: len(least) - (w - span)], least[w - span :])
-    mark = np.zeros(len(data) + 1, np.int32)
-    long = end - start >= length
-    np.add.at(mark, start[long], 1)
-    np.add.at(mark, end[long] - length + 1, -1)
-    chosen = (least[np.cumsum(mark[: len(least)]) > 0] & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
-    if len(chosen):
-        chosen = np.unique(chosen)
-    return chosen, h[chosen]
+def _leftmost_least(h: np.ndarray, w: int) -> np.ndarray:
+    """Of each w neighbours the place of the smallest, the leftmost of equals."""
+    least, at, span = h, np.arange(len(h), dtype=np.int32), 1
+    while span < w:
+        step = min(span, w - span)
+        later = least[step:] < least[:-step]
+        at = np.where(later, at[step:], at[:-step])
+        least = np.where(later, least[step:], least[:-step])
+        span += step
+    return at
 
 
-def _count_rows(h, did, pos):
-    """Rows (key, did, pos, known) of a task's anchors: repeats within the task are known, one of each kind asks for others."""
+def anchors(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int = LENGTH, k: int = K, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Places (ascending) and hashes of the anchors of all windows that lie within a text."""
+    mark = np.zeros(len(data) + 1, np.int8)  # texts don't overlap: where a window may begin is 1
+    long = end - start >= length
+    mark[start[long]] += 1
+    mark[end[long] - length + 1] -= 1
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    inside = np.cumsum(mark, dtype=np.int8)
+    for at in range(0, len(data) - length + 1, block):
+        piece = data[at : at + block + length - 1]
+        h = rolled(piece, k)
+        least = _leftmost_least(h, length - k + 1)
+        chosen = np.unique(least[inside[at : at + len(least)] > 0])
+        places.append(chosen.astype(np.int64) + at), hashes.append(h[chosen])
+    places, hashes = np.concatenate(places), np.concatenate(hashes)
+    places, first = np.unique(places, return_index=True)  # neighbouring blocks may choose the same
+    return places, hashes[first]
+
+
+def _count_rows(h, did, th, pos):
+    """Rows (key, did, th, pos, known) of a task's anchors: repeats within the task are known, one of each kind asks for others."""
     order = np.argsort(h, kind="stable")
-    h, did, pos = h[order], did[order], pos[order]
+    h, did, th, pos = h[order], did[order], th[order], pos[order]
     head = np.append(True, h[1:] != h[:-1])
     twice = ~head | np.append(~head[1:], False)
     # a known row needs no company: it is dealt by its own place, not by the hot hash
-    key = np.concatenate([h[head], mix(did[twice].astype(np.uint64) * np.uint64(3) + pos[twice].astype(np.uint64))])
+    key = np.concatenate([h[head], mix((did[twice] ^ th[twice]).astype(np.uint64) * np.uint64(3) + pos[twice].astype(np.uint64))])
     known = np.concatenate([np.zeros(head.sum(), bool), np.ones(twice.sum(), bool)])
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.concatenate([did[head], did[twice]])), pa.array(np.concatenate([pos[head], pos[twice]]).astype(np.int32)), pa.array(known)], ["key", "did", "pos", "known"])
+    both = lambda x: pa.array(np.concatenate([x[head], x[twice]]))
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), both(did), both(th), both(pos.astype(np.int32)), pa.array(known)], ["key", "did", "th", "pos", "known"])
 
 
 def _anchor_rows(length: int, k: int):
@@ -116,7 +129,7 @@ def _anchor_rows(length: int, k: int):
                 at, h = anchors(data, start, end, length, k)
                 full = np.flatnonzero(end > start)
                 text = full[np.searchsorted(start[full], at, side="right") - 1] if len(at) else at
-                kept.append((h, part.column("did").to_numpy()[text], at - start[text]))
+                kept.append((h, part.column("did").to_numpy()[text], part.column("th").to_numpy()[text], at - start[text]))
                 size += len(at)
                 if size >= COUNT_ROWS:
                     yield _count_rows(*map(np.concatenate, zip(*kept)))
@@ -192,23 +205,22 @@ def _run_rows(parts: int, length: int, k: int):
                 lists = piece.column("ps")
                 text = np.repeat(np.arange(len(start)), np.diff(lists.offsets.to_numpy()))
                 pos = lists.flatten().to_numpy().astype(np.int64)
-                inside = pos + k <= (end - start)[text]  # another text of the same id may be shorter
-                text, pos = text[inside], pos[inside]
-                if not len(pos):
-                    continue
-                p, lo, hi = pos + start[text], start[text], end[text]
-                to = p[:, None] + np.arange(length)
-                right = np.where(to < hi[:, None], data[np.minimum(to, len(data) - 1)], 0).astype(np.uint8)
-                back = p[:, None] - 1 - np.arange(width)
-                left = np.where(back >= lo[:, None], data[np.maximum(back, 0)], 0).astype(np.uint8)
-                meta = np.zeros(len(pos), META)
-                meta["did"], meta["th"], meta["pos"] = piece.column("did").to_numpy()[text], piece.column("th").to_numpy()[text], pos
-                meta["right"], meta["left"] = np.minimum(hi - p, length), np.minimum(pos, width)
-                kept.append((right, left, meta))
-                size += len(pos)
-                if size >= RUN_ROWS:
-                    yield flush(kept)
-                    kept, size = [], 0
+                ids, hashes = piece.column("did").to_numpy(), piece.column("th").to_numpy()
+                for a in range(0, len(pos), CUT_ROWS):
+                    of, place = text[a : a + CUT_ROWS], pos[a : a + CUT_ROWS]
+                    p, lo, hi = place + start[of], start[of], end[of]
+                    to = p[:, None] + np.arange(length)
+                    right = np.where(to < hi[:, None], data[np.minimum(to, len(data) - 1)], 0).astype(np.uint8)
+                    back = p[:, None] - 1 - np.arange(width)
+                    left = np.where(back >= lo[:, None], data[np.maximum(back, 0)], 0).astype(np.uint8)
+                    meta = np.zeros(len(of), META)
+                    meta["did"], meta["th"], meta["pos"] = ids[of], hashes[of], place
+                    meta["right"], meta["left"] = np.minimum(hi - p, length), np.minimum(place, width)
+                    kept.append((right, left, meta))
+                    size += len(of)
+                    if size >= RUN_ROWS:
+                        yield flush(kept)
+                        kept, size = [], 0
         if size:
             yield flush(kept)
 
@@ -355,9 +367,9 @@ def _removed(batches):
             n_bytes, n_removed, n_spans, kept = [], [], [], []
             data, start, end = buffers(part.column("t"))
             raw = data.tobytes()
-            for a, b, th, spans in zip(start.tolist(), end.tolist(), part.column("th").to_pylist(), part.column("spans").to_pylist()):
+            for a, b, spans in zip(start.tolist(), end.tolist(), part.column("spans").to_pylist()):
                 text, out, at, removed, runs = raw[a:b], [], 0, 0, 0
-                for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or () if s["th"] == th):
+                for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
                     if lo > at or (lo == at == 0):
                         runs += 1
                         out.append(text[at:lo])
@@ -374,19 +386,20 @@ def _removed(batches):
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     """(did, th, lo, hi): ranges of bytes of the text (did, th) to take away; they may overlap."""
     spark = texts.sparkSession
-    parts = PART_FACTOR * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.select("did", "t").mapInArrow(_anchor_rows(length, k), "key long, did long, pos int, known boolean")
+    rows = texts.mapInArrow(_anchor_rows(length, k), "key long, did long, th long, pos int, known boolean")
     # at most a row per task and hash, so no window grows with a hot string
     asked = rows.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).where("known or n > 1")
-    places = asked.groupBy("did").agg(F.collect_set("pos").alias("ps")).select(F.col("did").alias("pd"), "ps")
-    runs = texts.join(places, F.col("did") == F.col("pd")).select("did", "th", "t", "ps").mapInArrow(_run_rows(parts, length, k), "part int, suffixes binary, contexts binary, meta binary, spans binary")
-    return runs.groupBy("part").applyInArrow(_merge(length, k), "did long, th int, lo int, hi int")
+    places = materialize(asked.groupBy("did", "th").agg(F.collect_set("pos").alias("ps")).select(F.col("did").alias("pd"), F.col("th").alias("pt"), "ps"), "anchor-places")
+    total = places.agg(F.sum(F.size("ps"))).first()[0] or 0
+    parts = max(PART_FACTOR * int(spark.conf.get("spark.sql.shuffle.partitions")), total // PART_ROWS + 1)
+    runs = texts.join(places, (F.col("did") == F.col("pd")) & (F.col("th") == F.col("pt"))).select("did", "th", "t", "ps").mapInArrow(_run_rows(parts, length, k), "part int, suffixes binary, contexts binary, meta binary, spans binary")
+    return runs.groupBy("part").applyInArrow(_merge(length, k), "did long, th long, lo int, hi int")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = K) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row per row of docs."""
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("did"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    texts = texts.withColumn("th", F.hash("t"))
-    found = repeated_ranges(texts, length, k).groupBy("did").agg(F.collect_list(F.struct("th", "lo", "hi")).alias("spans")).select(F.col("did").alias("sd"), "spans")
-    out = texts.join(found, F.col("did") == F.col("sd"), "left").select("did", "th", "t", "spans").mapInArrow(_removed, "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    texts = texts.select("did", F.xxhash64("t").alias("th"), "t")
+    found = repeated_ranges(texts, length, k).groupBy("did", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")).select(F.col("did").alias("sd"), F.col("th").alias("st"), "spans")
+    out = texts.join(found, (F.col("did") == F.col("sd")) & (F.col("th") == F.col("st")), "left").select("did", "t", "spans").mapInArrow(_removed, "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.select(F.when(F.col("did") != NULL_ID, F.col("did")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

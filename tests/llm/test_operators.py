@@ -69,6 +69,27 @@ def test_keep_good_keeps_columns(odd, labels):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in quality_rules.quality_rules(odd, labels).collect() if r.kept)
 
 
+def thue_morse(n, letters):
+    text = letters[0]
+    while len(text) < n:
+        text += text.translate(str.maketrans(letters, letters[::-1]))
+    return text
+
+
+def test_words_are_told_apart_by_their_bytes():
+    """Polynomial hashes take these two words for one; here neither hashes nor windows do, even if all hashes are equal."""
+    from layoutspark.llm import common, stats
+
+    a, b = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    texts = pa.array([f"1 2 3 4 5 6 7 {a} x y 1 2 3 4 5 6 7 {b}", f"{a} {b} {a}", None, ""])
+    w = common.words(texts)
+    assert len(set(w.hashes().tolist())) == len({w.bytes_of(i) for i in range(len(w.start))})
+    assert stats.text_stats(texts)[0]["n_repeat_words"].tolist() == [0, 0, 0, 0]
+    ids = w.ids(np.zeros(len(w.start), np.uint64))
+    assert len(set(zip(ids.tolist(), (w.bytes_of(i) for i in range(len(ids)))))) == len(set(ids.tolist())) == 11
+    assert stats.repeated_words(common.words(pa.array(["p q p q p q p q p q"])), np.zeros(10, np.int64)).tolist() == [10]
+
+
 # --- 2: exact deduplication ------------------------------------------------------------------------
 
 
@@ -148,7 +169,7 @@ def test_suffix_dedup(spark, odd_rows):
     from pyspark.sql import functions as F
 
     df = frame(spark, odd_rows).repartition(3)
-    hashes = {(r.doc_id, r.text): r.h for r in df.select("doc_id", "text", F.hash(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    hashes = {(r.doc_id, r.text): r.h for r in df.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
     keys = sorted({(d is not None, d or 0, hashes[d, t], (t or "").encode()) for d, t, *_ in odd_rows})
     expected = remove_repeats([(k, k[3]) for k in keys])
     want = Counter((d, *expected[d is not None, d or 0, hashes[d, t], (t or "").encode()]) for d, t, *_ in odd_rows)
@@ -188,6 +209,29 @@ def test_anchors_depend_on_the_window_alone():
         assert {a - i for a in chosen if i <= a <= i + 76} & {a - i - 1500 for a in chosen if i + 1500 <= a <= i + 1576}
 
 
+def test_anchors_are_the_same_whatever_the_piece():
+    r = np.random.default_rng(6)
+    data = r.integers(97, 99, 20_000).astype(np.uint8)  # two letters: many equal hashes
+    whole, h = suffix_dedup.anchors(data, np.array([0, 7000]), np.array([7000, 20_000]))
+    blocks, g = suffix_dedup.anchors(data, np.array([0, 7000]), np.array([7000, 20_000]), block=300)
+    apart = [suffix_dedup.anchors(data[a:b], np.array([0]), np.array([b - a]))[0] + a for a, b in ((0, 7000), (7000, 20_000))]
+    assert whole.tolist() == blocks.tolist() == np.concatenate(apart).tolist() and (h == g).all()
+    for i in range(0, 6901, 137):  # of one window alone
+        assert suffix_dedup.anchors(data[i : i + 100], np.array([0]), np.array([100]))[0][0] + i in set(whole.tolist())
+
+
+def test_suffix_dedup_of_pieces_of_very_different_size(spark):
+    r = random.Random(12)
+    long = "".join(r.choice("ab") for _ in range(60_000))
+    rows = [(1, long, "en", "a"), *((i, long[i * 517 : i * 517 + 100 + i], "en", "a") for i in range(2, 90)), (None, long[:400], "en", "a"), (None, long[300:900], "en", "b"), (None, long[:400], "en", "a")]
+    df = frame(spark, rows).repartition(4)
+    hashes = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    order = sorted({(d is not None, d or 0, hashes[t], t.encode()) for d, t, *_ in rows})
+    expected = remove_repeats([(k, k[3]) for k in order])
+    want = Counter((d, *expected[d is not None, d or 0, hashes[t], t.encode()]) for d, t, *_ in rows)
+    assert Counter(tuple(x) for x in suffix_dedup.suffix_dedup(df).collect()) == want
+
+
 # --- 5: HTML extraction -----------------------------------------------------------------------------
 
 
@@ -239,6 +283,21 @@ def test_unrendered_text_is_passed_over(attributes):
     assert words_of(f"<p>One <span {attributes}>two</span> three.") == "One three."
 
 
+@pytest.mark.parametrize("piece", ["<a", "<div>x", "<b><br>x", "<p><button><center>x", "<a '>'", "<a =", "<!--", "<li><ul>", "<a href='", "&", "<table><tr><td>", "<i x=\"", "<a style='('>"])
+def test_malformed_markup_takes_linear_time(piece):
+    import time
+
+    page = piece * (400_000 // len(piece))
+    began = time.process_time()
+    html_extract.default_chain().decode(html_extract.leaf_blocks(page))
+    assert time.process_time() - began < 5
+
+
+def test_unfinished_markup():
+    assert words_of("One <b two") == "One" and words_of("1 < 2 and <3") == "1 < 2 and <3" and words_of("One <i a='>two") == "One two"
+    assert words_of("One <i a='>' b=\">\">two") == "One two" and words_of("<p>One<!-->two<!-- -->three") == "Onetwothree"
+
+
 def test_math_is_rendered():
     assert words_of("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.") == "So x=2 holds."
 
@@ -342,16 +401,58 @@ def test_ngram_join(spark, shape):
 
 
 def test_ngram_join_on_odd_rows(spark, odd_rows, none):
-    rows = [x for x in odd_rows if x[0] != 14]  # two different texts of one id are one node: checked below
+    rows = odd_rows
     want = jaccard_expected(rows)
+    assert want[14][1] == 14
     found = ngram_join.ngram_join(frame(spark, rows).repartition(3)).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == {d: (len(s), c) for d, (s, c) in want.items()}
+    sizes = {(d, t): len(jaccard_expected([(0, t)])[0][0]) for d, t, *_ in rows}  # two texts of one id have a set each
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found if r.doc_id is not None) == Counter((d, sizes[d, t], want[d][1]) for d, t, *_ in rows if d is not None)
     assert sorted(str(r.component_id) for r in found if r.doc_id is None) == ["1", "None"]
     assert ngram_join.ngram_join(none).count() == ngram_join.keep_one(none).count() == 0
     kept = ngram_join.keep_one(frame(spark, rows))
     assert {r.doc_id for r in kept.collect()} >= {1, 4, 5, 6, 9} and 3 not in {r.doc_id for r in kept.collect()}
 
 
+def test_ngram_join_links_all_texts_of_one_id(spark):
+    r = random.Random(31)
+    a, b, c = (prose(r, 80, 900) for _ in range(3))
+    near = lambda t: t.replace(t.split(" ")[40], "edited", 1)
+    rows = [(3, a, "en", "a"), (14, a, "en", "a"), (14, b, "en", "a"), (20, near(b), "en", "a"), (21, b.upper(), "en", "a"), (30, c, "en", "a"), (31, near(c), "en", "a"), (31, near(a), "en", "a"), (31, "", "en", "a")]
+    found = ngram_join.ngram_join(frame(spark, rows)).collect()
+    assert {r.component_id for r in found if r.n_shingles} == {3}
+
+
+def test_ngram_join_compares_words_by_their_bytes(spark):
+    rows = [(1, thue_morse(1024, "ab"), "en", "a"), (2, thue_morse(1024, "ba"), "en", "a"), (3, thue_morse(1024, "ab").upper(), "en", "a")]
+    assert {r.doc_id: r.component_id for r in ngram_join.ngram_join(frame(spark, rows)).collect()} == {1: 1, 2: 2, 3: 1}
+    sets = ngram_join.exact_sets(pa.array(["a b c d e", "x a b c d", "a b", "A B", "a", None]), hashes=np.zeros(15, np.uint64))
+    assert [len(s) for s in sets] == [2, 2, 1, 1, 1, 0] and len(np.intersect1d(sets[0], sets[1])) == 1 and sets[2] == sets[3] != sets[4]
+
+
+def test_pivots_find_a_group_whose_original_has_the_largest_id(spark):
+    """Copies are two edits from the original, four from each other: only the original links them."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(17)
+    base = prose(r, 150, 900).split(" ")
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for place in r.sample(range(0, 150, 5), 2):
+            text[place] = f"edit{r.randrange(10**6)}"
+        rows.append((i, " ".join(text), "en", "a"))
+    rows.append((1000, " ".join(base), "en", "a"))
+    made = {}
+    check = ngram_join.cross_candidates
+    ngram_join.cross_candidates = lambda *args: made.setdefault("pairs", check(*args))
+    try:
+        found = ngram_join.ngram_join(frame(spark, rows).repartition(3)).collect()
+    finally:
+        ngram_join.cross_candidates = check
+    assert {x.component_id for x in found} == {0}
+    assert made["pairs"].count() == 0
+
+
 def test_prefix_bounds_hold_for_random_sets():
     """Two sets that are similar enough share at least min(l) tokens of the prefixes that the rule gives them."""
     r = random.Random(1)
@@ -431,7 +532,6 @@ def encode():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -502,7 +602,7 @@ def test_packing_takes_a_seed_s_best_by_all_its_tokens():
     assert index.neighbours(0, used, n).tolist() == [d for d in best if not used[d] and terms[d] & terms[0]]
 
 
-@pytest.mark.parametrize("text", ["", " ", "a", "two  spaces", " lead", "trail ", "tab\t x", "line \n next", "don't you'll", "naïve café 漢字 🙂", "x y 　z", "12 345 6,7 %% --", "<|endoftext|> is text", "\x1c a \x1f", "a" * 500, "İstanbul ǅ ﬁ"])
+@pytest.mark.parametrize("text", ["", " ", "a", "two  spaces", " lead", "trail ", "tab\t x", "line \n next", "don't you'll", "naïve café 漢字 🙂", "x y 　z", "12 345 6,7 %% --", "<|endoftext|> is text", "\x1c a \x1f", "a" * 500, "İstanbul ǅ ﬁ", "a <|endoftext|>", "x<|endoftext|><|endoftext|>\ny", "<|endoftext", "line\nnext\n", "\n", "\na b\n c", "x\r\ny", "a\n'll"])
 def test_ids_equal_those_of_the_tokenizers_file(encode, text):
     ids = np.frombuffer(packing.tokenizer()(text), "<u4").tolist()
     assert ids == encode(text)[:-1]
