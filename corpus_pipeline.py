@@ -1,4 +1,11 @@
-"""A training corpus from documents: quality rules, exact copies, near copies, source mix, packing."""
+"""A training corpus from documents: quality rules, exact copies, near copies, source mix, packing.
+
+Nulls, empty and long texts, ties, repeated rows, empty tables and further columns are treated as the operators'
+docstrings say. In short: rows of null or empty text fail the quality rules, so no later stage sees one; rows that
+share doc_id and text stay together through exact copies and near copies (the verdict is the id's), and the mix draws
+once for all of them; rows without a doc_id can only be dropped by the quality rules or for an equal text with an id;
+a table without rows gives none. Further columns of documents are carried along whatever their names.
+"""
 
 from __future__ import annotations
 
