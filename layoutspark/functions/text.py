@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -47,12 +48,13 @@ def untagged(text: Column) -> Column:
     return squeezed(F.regexp_replace(text, "<[^>]+>", " "))
 
 
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """body(x) with x as a variable: however often body uses it, the plan has its expression once."""
+    return F.element_at(F.transform(F.array(x), body), 1)
+
+
 def contains_any(text: Column, words: tuple[str, ...]) -> Column:
-    low = F.lower(text)
-    out = F.lit(False)
-    for k in words:
-        out = out | F.contains(low, F.lit(k))
-    return out
+    return F.lower(text).rlike("|".join(rf"\Q{k}\E" for k in words))
 
 
 def words_of(text: Column) -> Column:
@@ -92,6 +94,18 @@ def clean_ocr_text(text: str) -> str:
     return s
 
 
+def surely_longer(text: str, chars: int) -> bool:
+    """Whether the cleaned text has more characters for certain, without cleaning it.
+
+    Cleaning plain ASCII without markup drops white space, hyphens and words said twice, and joins a letter to the word
+    behind it; so of its different words of two letters or more at least every other one stays.
+    """
+    head = text[:400]
+    if not head.isascii() or "<" in head:
+        return False
+    return sum(map(len, {w.lower() for w in re.findall(r"\w\w+", head)[:-1]})) > 4 * chars
+
+
 def letters(text: Column) -> Column:
     return F.regexp_count(text, F.lit(LETTER))
 
@@ -102,89 +116,110 @@ def digits(text: Column) -> Column:
 
 def is_title_pattern(first: Column, rest_chars: Column, cfg: Classification = Classification()) -> Column:
     """A first line that reads like a title: a delimiter or a word in capitals, short, with text after it."""
-    s = squeezed(first)
-    capital = F.exists(F.split(s, " "), lambda t: (F.length(t) >= 3) & (t == F.upper(t)) & (t != F.lower(t)))
-    fits = (s != "") & (F.length(s) <= cfg.prefix_title_pattern_max_chars) & (rest_chars >= cfg.prefix_title_pattern_min_rest_chars) & (letters(s) >= cfg.headline_min_alpha_chars)
-    return fits & (F.contains(s, F.lit("/")) | F.contains(s, F.lit(":")) | capital)
+
+    def rule(s: Column) -> Column:
+        capital = F.exists(F.split(s, " "), lambda t: (F.length(t) >= 3) & (t == F.upper(t)) & (t != F.lower(t)))
+        fits = (s != "") & (F.length(s) <= cfg.prefix_title_pattern_max_chars) & (letters(s) >= cfg.headline_min_alpha_chars)
+        return fits & (s.rlike("[/:]") | capital)
+
+    return (rest_chars >= cfg.prefix_title_pattern_min_rest_chars) & let(squeezed(first), rule)
 
 
 def is_headline_pattern(text: Column) -> Column:
-    s = squeezed(text)
-    n = F.size(words_of(s))
-    ends = s.endswith(".") | s.endswith("!") | s.endswith("?")
-    return (s != "") & n.between(2, 10) & ~ends & ~(F.contains(s, F.lit(":")) & (n <= 4)) & (F.contains(s, F.lit("/")) | (F.regexp_count(s, F.lit("[,:;]")) <= 1))
+    def rule(s: Column, n: Column) -> Column:
+        return (s != "") & n.between(2, 10) & ~s.rlike("(?s)[.!?]$") & ~(F.contains(s, F.lit(":")) & (n <= 4)) & (F.contains(s, F.lit("/")) | (F.regexp_count(s, F.lit("[,:;]")) <= 1))
+
+    return let(squeezed(text), lambda s: let(F.size(words_of(s)), lambda n: rule(s, n)))
 
 
 def is_dialogue(text: Column) -> Column:
     """Starts with a dash, stands in quotes, or is a short sentence with a comma or dots."""
-    s = squeezed(text)
-    quoted = s.rlike("(?s)^[“\"'‘]") & s.rlike("(?s)[”\"'’]$")
-    spoken = (F.length(s) <= 90) & (s.endswith(".") | s.endswith("!") | s.endswith("?")) & (F.contains(s, F.lit(",")) | F.contains(s, F.lit("...")))
-    return (s != "") & (s.rlike(r"(?U)^[-–—]\s*\w+") | quoted | spoken)
+
+    def rule(s: Column) -> Column:
+        quoted = s.rlike("(?s)^[“\"'‘]") & s.rlike("(?s)[”\"'’]$")
+        spoken = (F.length(s) <= 90) & (s.endswith(".") | s.endswith("!") | s.endswith("?")) & (F.contains(s, F.lit(",")) | F.contains(s, F.lit("...")))
+        return (s != "") & (s.rlike(r"(?U)^[-–—]\s*\w+") | quoted | spoken)
+
+    return let(squeezed(text), rule)
 
 
 def is_reasonable_headline(text: Column) -> Column:
-    s = squeezed(text)
-    first = F.regexp_extract(s, f"({LETTER})", 1)
-    lower = (first != "") & (F.lower(first) == first)
-    return (s != "") & ~lower & ((F.size(words_of(s)) >= 2) | s.rlike("^[A-ZÇĞİÖŞÜ0-9]{3,}$"))
+    def rule(s: Column) -> Column:
+        lower = let(F.regexp_extract(s, f"({LETTER})", 1), lambda first: (first != "") & (F.lower(first) == first))
+        return (s != "") & ~lower & ((F.size(words_of(s)) >= 2) | s.rlike("^[A-ZÇĞİÖŞÜ0-9]{3,}$"))
+
+    return let(squeezed(text), rule)
 
 
 def normalized_title(text: Column) -> Column:
     """Without markup and mail addresses; known titles in their usual form."""
-    s = squeezed(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "<[^>]+>", " "), r"(?U)\S+@\S+", " "))
-    out = s
-    for words, title in reversed(TITLE_REPAIRS):
-        out = F.when(contains_any(s, words), title).otherwise(out)
-    return out
+
+    def rule(s: Column) -> Column:
+        out = s
+        for words, title in reversed(TITLE_REPAIRS):
+            out = F.when(contains_any(s, words), title).otherwise(out)
+        return out
+
+    return let(squeezed(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "<[^>]+>", " "), r"(?U)\S+@\S+", " ")), rule)
 
 
 def _broken(text: Column) -> Column:
     return text.rlike(r"(?U)[!?]|,\s|:\s|;\s|\.\s")
 
 
+def _trimmed(text: Column, body: Callable[[Column], Column]) -> Column:
+    return let(F.trim(F.coalesce(text, F.lit(""))), body)
+
+
 def is_body_sentence(text: Column) -> Column:
-    s = F.trim(F.coalesce(text, F.lit("")))
-    return (s != "") & ~contains_any(s, STRUCTURAL) & (_broken(s) | (F.size(words_of(s)) >= 6) | contains_any(s, BODY))
+    return _trimmed(text, lambda s: (s != "") & ~contains_any(s, STRUCTURAL) & (_broken(s) | (F.size(words_of(s)) >= 6) | contains_any(s, BODY)))
 
 
 def has_structural_signal(full: Column, byline: Column, visual_class: Column) -> Column:
-    s = F.trim(F.coalesce(full, F.lit("")))
-    alpha, upper = F.regexp_count(s, F.lit(r"\p{L}")), F.regexp_count(s, F.lit(r"\p{Lu}"))
-    loud = visual_class.isin(*PANEL_PAGES) & (F.size(words_of(s)) <= 3) & (alpha >= 6) & (upper >= F.greatest(F.lit(2), F.floor(0.45 * alpha)))
-    return (s != "") & ((byline != "") | contains_any(s, STRUCTURAL) | loud)
+    def rule(s: Column) -> Column:
+        alpha, upper = F.regexp_count(s, F.lit(r"\p{L}")), F.regexp_count(s, F.lit(r"\p{Lu}"))
+        loud = visual_class.isin(*PANEL_PAGES) & (F.size(words_of(s)) <= 3) & let(alpha, lambda n: (n >= 6) & (upper >= F.greatest(F.lit(2), F.floor(0.45 * n))))
+        return (s != "") & ((byline != "") | contains_any(s, STRUCTURAL) | loud)
+
+    return _trimmed(full, rule)
 
 
 def is_structural_headline(full: Column, byline: Column, visual_class: Column) -> Column:
-    s = F.trim(F.coalesce(full, F.lit("")))
     asked = visual_class.isin("framed_photo", "background_photo_page", *PANEL_PAGES)
-    return (s != "") & (~asked | (byline != "") | contains_any(s, STRUCTURAL))
+    return _trimmed(full, lambda s: (s != "") & (~asked | (byline != "") | contains_any(s, STRUCTURAL)))
 
 
 def headline_score(full: Column, byline: Column, visual_class: Column) -> Column:
-    s = F.trim(F.coalesce(full, F.lit("")))
-    n = F.size(words_of(s))
     part = lambda condition, value: F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
-    total = part(byline != "", 1.5) + part(contains_any(s, STRUCTURAL), 1.2) + part(contains_any(s, NOISY), -1.2) + part(_broken(s) & (byline == ""), -1.0)
-    total = total + part(n == 2, 0.25) + part(n <= 5, 0.5) + part(n > 9, -1.0) + part(visual_class.isin(*PANEL_PAGES), 0.2)
-    return F.when(s == "", F.lit(-1.0)).otherwise(total)
+
+    def rule(s: Column, n: Column) -> Column:
+        total = part(byline != "", 1.5) + part(contains_any(s, STRUCTURAL), 1.2) + part(contains_any(s, NOISY), -1.2) + part(_broken(s) & (byline == ""), -1.0)
+        total = total + part(n == 2, 0.25) + part(n <= 5, 0.5) + part(n > 9, -1.0) + part(visual_class.isin(*PANEL_PAGES), 0.2)
+        return F.when(s == "", F.lit(-1.0)).otherwise(total)
+
+    return _trimmed(full, lambda s: let(F.size(words_of(s)), lambda n: rule(s, n)))
 
 
 def title_and_byline(text: Column) -> Column:
     """struct(title, byline, full): split at the first credit."""
-    s = normalized_title(text)
-    credit = r"(?iuU)\b(yazan|çizen|hazırlayan|resimleyen)\b"
-    at = F.regexp_instr(s, F.lit(credit))
-    title = F.btrim(F.substring(s, F.lit(1), at - 1), F.lit(" -,:;"))
-    byline = F.trim(F.substring(s, at, F.length(s)))
     three = lambda a, b, c: F.struct(a.alias("title"), b.alias("byline"), c.alias("full"))
-    return F.when(at > 0, three(title, byline, F.trim(F.concat_ws(" ", title, byline)))).otherwise(three(s, F.lit(""), s))
+    credit = r"(?iuU)\b(yazan|çizen|hazırlayan|resimleyen)\b"
+
+    def rule(s: Column, at: Column) -> Column:
+        title = F.btrim(F.substring(s, F.lit(1), at - 1), F.lit(" -,:;"))
+        byline = F.trim(F.substring(s, at, F.length(s)))
+        return F.when(at > 0, three(title, byline, F.trim(F.concat_ws(" ", title, byline)))).otherwise(three(s, F.lit(""), s))
+
+    return let(normalized_title(text), lambda s: let(F.regexp_instr(s, F.lit(credit)), lambda at: rule(s, at)))
 
 
 def sanitized(title: Column, byline: Column, full: Column, visual_class: Column) -> Column:
     """struct(title, byline, full), all empty where the text isn't a headline."""
-    t, b, f = normalized_title(title), normalized_title(byline), normalized_title(full)
     most = F.when(visual_class.isin(*PANEL_PAGES), 5).otherwise(6)
-    good = has_structural_signal(f, b, visual_class) & ((b != "") | (F.size(words_of(f)) <= most))
-    pick = lambda x: F.when(good, x).otherwise(F.lit(""))
-    return F.struct(pick(t).alias("title"), pick(b).alias("byline"), pick(f).alias("full"))
+
+    def rule(x: Column) -> Column:
+        good = has_structural_signal(x["full"], x["byline"], visual_class) & ((x["byline"] != "") | (F.size(words_of(x["full"])) <= most))
+        empty = F.struct(*[F.lit("").alias(c) for c in ("title", "byline", "full")])
+        return F.when(good, x).otherwise(empty)
+
+    return let(F.struct(normalized_title(title).alias("title"), normalized_title(byline).alias("byline"), normalized_title(full).alias("full")), rule)

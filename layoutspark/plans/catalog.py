@@ -359,7 +359,7 @@ def merge_line_sets(spark, d):
 
 def _blocks(spark, d):
     """Blocks with their prefix headlines split off, numbered from the top, with roles and an id per page."""
-    lines = tb.merged_blocks(_lines(spark, d))
+    lines = tb.grouped(_lines(spark, d))
     split = tb.split_prefix(lines).withColumn("root", F.col("root") * 2 + F.col("part"))
     blocks = tb.blocks_of(split).withColumn("seq", F.row_number().over(tb.by_page().orderBy("y1", "x1", "root")).cast("long"))
     median = lines.groupBy("page_id").agg(F.median((F.col("y2") - F.col("y1")).cast("double")).alias("page_median_h"))
@@ -450,19 +450,19 @@ def _tokens(spark, d, word="[a-zA-Z]+"):
 
 @query(f"WITH {_WORDS_SQL} SELECT token FROM w WHERE lower(token) IN ({', '.join(repr(x) for x in correction.LEXICON)})")
 def lexicon_semi_join(spark, d):
-    return _tokens(spark, d).join(F.broadcast(correction.lexicon(spark)), F.lower("token") == F.col("word"), "left_semi")
+    return _tokens(spark, d).join(correction.lexicon(spark), F.lower("token") == F.col("word"), "left_semi")
 
 
 @query(f"WITH {_WORDS_SQL}, l AS (SELECT DISTINCT unnest([{', '.join(repr(x) for x in correction.LEXICON if x.isascii())}]) AS word) SELECT token, word, levenshtein(lower(token), word) AS distance FROM w JOIN l ON abs(length(token) - length(word)) <= 2 AND levenshtein(lower(token), word) <= 1")
 def edit_prefilter(spark, d):
     near = (F.abs(F.length("token") - F.length("word")) <= 2) & (F.levenshtein(F.lower("token"), "word") <= 1)
     words = correction.lexicon(spark).where(F.col("word").rlike("^[a-z]+$"))  # the oracle's distance counts bytes
-    return _tokens(spark, d).join(F.broadcast(words), near).select("token", "word", F.levenshtein(F.lower("token"), "word").cast("long").alias("distance"))
+    return _tokens(spark, d).join(words, near).select("token", "word", F.levenshtein(F.lower("token"), "word").cast("long").alias("distance"))
 
 
 @query()
 def corrections(spark, d):
-    return correction.suggestions(_tokens(spark, d, r"(?U)\w+"), F.broadcast(correction.lexicon(spark)))
+    return correction.suggestions(_tokens(spark, d, r"(?U)\w+"), correction.lexicon(spark))
 
 
 @query()

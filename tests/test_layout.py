@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from layoutspark.config import Classification, Correction, Settings, load_settings
+from layoutspark.config import Classification, Correction, Grouping, Settings, load_settings
 from layoutspark.functions import correction, geometry
 from layoutspark.functions import text as t
 from layoutspark.functions.geometry import Box
@@ -159,6 +159,34 @@ def test_correction(spark, cfg, text, expected):
     assert all(x in found.lower() for x in expected)
 
 
+def test_both_ways_of_correction_agree(spark, monkeypatch):
+    """A lexicon that is broadcast and one that is joined; and all near words are found by their pieces."""
+    r = random.Random(2)
+    words = sorted({"".join(r.choice("abcçgğıikosşuüvy") for _ in range(r.randint(4, 16))) for _ in range(120)} | set(correction.LEXICON))
+
+    def changed(w):
+        w = list(w)
+        for _ in range(r.randint(0, 3)):
+            i = r.randrange(len(w))
+            w[i : i + r.randint(0, 1)] = r.choice(["", "v", "ı", "o", "q", "s"])
+        return "".join(w)
+
+    for cfg in (Correction(), Correction(similarity_threshold=0.8, min_margin_over_second=0.01)):
+        here = correction.Corrector(words, cfg)
+        tokens = sorted({t for t in (changed(r.choice(words)) for _ in range(400)) if t})
+        for token in tokens:
+            rated = sorted((-max(0.0, 1 - here.distance(token, w) / max(1, len(token), len(w))), w) for w in words if abs(len(w) - len(token)) <= 2)
+            if rated and -rated[0][0] >= cfg.similarity_threshold:
+                assert any(rated[0][1] in here.near.get(k, ()) for k in correction.token_keys(token, cfg))
+        df = spark.createDataFrame([(w,) for w in words], "word string")
+        joined = correction.suggestions(spark.createDataFrame([(t,) for t in tokens], "token string"), df, cfg).collect()
+        assert {x.token: x.suggestion for x in joined} == {t: s for t in tokens if (s := here.suggestion(t)) is not None} != {}
+    blocks = spark.createDataFrame([(1, "Buvuklerimiz dive dedi, evimde kilom vok."), (2, None)], "id long, text string")
+    near = {x.id: x.text for x in correction.correct(blocks, correction.lexicon(spark), ["id"]).collect()}
+    monkeypatch.setattr(correction, "BROADCAST_WORDS", 3)
+    assert near == {x.id: x.text for x in correction.correct(blocks, correction.lexicon(spark), ["id"]).collect()} and near[2] is None
+
+
 def test_weighted_distance(spark):
     d = lambda a, b: value(spark, correction.weighted_distance(F.lit(a), F.lit(b)))
     assert d("yok", "vok") == pytest.approx(0.24) and d("", "abc") == 3 and d("abc", "") == 3 and d("kitap", "kitp") == 1 and d("şey", "sey") == pytest.approx(0.24)
@@ -177,6 +205,60 @@ def test_titles(spark):
     assert value(spark, t.is_headline_pattern(F.lit("Bir"))) is False
 
 
+def test_a_large_page(spark):
+    """10,000 lines on one page, in two columns."""
+    import time
+
+    rows = [(f"line {i} of many words", 60 + 520 * (i % 2), 40 * (i // 2), 500 + 520 * (i % 2), 40 * (i // 2) + 26 + i % 3) for i in range(10_000)]
+    began = time.time()
+    found = tb.text_blocks(lines(spark, rows)).select("line_count").collect()
+    assert sum(r.line_count for r in found) == 10_000 and time.time() - began < 60
+
+
+def test_closures_equal_brute_force(spark):
+    r = random.Random(23)
+    cfg = Grouping()
+    for size in (1, 7, 60):
+        rows = [(f"w{i}", x, y, x + r.randint(20, 300), y + r.randint(10, 60)) for i, (x, y) in enumerate((r.randint(0, 900), r.randint(0, 1500)) for _ in range(size))]
+        heights = sorted(y2 - y1 for _, _, y1, _, y2 in rows)
+        med = max(1.0, (heights[size // 2] + heights[(size - 1) // 2]) / 2)
+
+        def over(a, b):
+            return max(0, min(a[3], b[3]) - max(a[1], b[1])) / max(1, min(a[3] - a[1], b[3] - b[1]))
+
+        def linked(a, b):
+            ha, hb, center, left = a[4] - a[2], b[4] - b[2], abs((a[1] + a[3]) / 2 - (b[1] + b[3]) / 2) / med, abs(a[1] - b[1]) / med
+            near = max(0, b[2] - a[4], a[2] - b[4]) / med <= cfg.max_vertical_gap_ratio
+            return max(ha, hb) / max(1, min(ha, hb)) <= cfg.max_line_height_ratio and near and center <= cfg.max_reading_flow_dx_ratio and (over(a, b) >= cfg.min_horizontal_overlap_ratio or min(left, center) <= cfg.max_alignment_delta_ratio)
+
+        def blocks_linked(a, b):
+            return max(0, b[2] - a[4], a[2] - b[4]) / med <= cfg.max_block_vertical_gap_ratio and (over(a, b) >= cfg.min_horizontal_overlap_ratio or abs(a[1] - b[1]) / med <= cfg.max_alignment_delta_ratio)
+
+        def closure(items, link):
+            root = list(range(len(items)))
+            for _ in items:
+                for i in range(len(items)):
+                    for j in range(len(items)):
+                        if link(items[i], items[j]):
+                            root[i] = root[j] = min(root[i], root[j])
+            return root
+
+        first = closure(rows, linked)
+        assert [x.root for x in tb.line_components(lines(spark, rows)).orderBy("line_no").collect()] == first
+        names = sorted(set(first))
+        around = [("", *(f(x[k] for x, g in zip(rows, first) if g == n) for f, k in ((min, 1), (min, 2), (max, 3), (max, 4)))) for n in names]
+        second = closure(around, blocks_linked)
+        assert [x.root for x in tb.grouped(lines(spark, rows), absorb=False).orderBy("line_no").collect()] == [names[second[names.index(g)]] for g in first]
+
+
+def test_second_pass_is_held_against_the_lines_so_far(spark):
+    first = lines(spark, [("a", 0, 0, 100, 20), ("b", 0, 300, 100, 320)])
+    second = lines(spark, [("c", 0, 80, 100, 100), ("d", 0, 80, 101, 100), ("A", 0, 0, 110, 20), ("AA", 0, 0, 122, 20), ("weak", 0, 300, 100, 320)])
+    second = second.withColumn("confidence", F.when(F.col("text") == "d", 0.95).when(F.col("text") == "weak", 0.5).otherwise(0.93))
+    # d takes the place of c, which no first-pass line matched; AA lies on A, which moved the line, but isn't surer
+    assert [(r.text, r.x2) for r in tb.merge_line_sets(first, second).orderBy("line_no").collect()] == [("A", 110), ("d", 101), ("b", 100)]
+
+
 def test_region_titles(spark):
     regions = boxes(spark, [(100, 100, 700, 900)]).withColumn("visual_class", F.lit("puzzle_page")).withColumn("panel_index", F.lit(1))
     found = hl.window_titles(regions, lines(spark, [("Çengel Bulmaca", 150, 110, 400, 150), ("başka bir satır", 150, 600, 400, 640)])).collect()
@@ -280,8 +362,10 @@ def test_entry_imports_without_the_llm_folders(tmp_path):
 @pytest.mark.parametrize("text", ["a" + " " * 100 + "b", "<b class='" + "x" * 90 + "'>ab</b>"])
 def test_a_block_is_short_by_its_cleaned_text(spark, text):
     assert len(t.clean_ocr_text(text).strip()) <= 18
-    rows = lines(spark, [("A long line of text that stays as it is", 0, 0, 300, 30), (text, 0, 40, 300, 70)]).withColumn("root", F.col("line_no").cast("long"))
-    assert {r.root for r in tb.absorb_short(rows).collect()} == {0}
+    rows = lines(spark, [("A long line of text that stays as it is", 0, 0, 300, 30), (text, 0, 40, 300, 70)])
+    apart = Grouping(max_vertical_gap_ratio=-1, max_block_vertical_gap_ratio=-1)
+    assert {r.root for r in tb.grouped(rows, apart, absorb=False).collect()} == {0, 1}
+    assert {r.root for r in tb.grouped(rows, apart).collect()} == {0}
 
 
 def test_corrections_take_unicode_words(spark, tmp_path):
