@@ -50,8 +50,63 @@ class Classification:
     prefix_title_pattern_min_rest_chars: int = 80
 
 
+@dataclass(frozen=True)
+class Mask:
+    text_dilation_ratio: float = 0.005
+    non_text_open_ratio: float = 0.003
+    non_text_close_ratio: float = 0.006
+    white_threshold: int = 242
+    low_saturation_threshold: int = 20
+    visual_texture_std_threshold: float = 12.0
+
+
 @dataclass(frozen=True)
 class Visual:
+    simple_mode: bool = False
+    merge_iou_threshold: float = 0.25
+    split_trigger_area_ratio: float = 0.75
+    split_min_component_area_ratio: float = 0.0035
+    split_texture_std_threshold: float = 16.0
+    split_saturation_threshold: int = 32
+    split_seed_open_ratio: float = 0.002
+    split_seed_close_ratio: float = 0.004
+    grid_split_rows: int = 3
+    grid_split_cols: int = 2
+    grid_split_expand_ratio: float = 0.02
+    grid_min_non_text_ratio: float = 0.22
+    grid_min_visual_score: float = 0.42
+    grid_component_min_cell_area_ratio: float = 0.02
+    grid_strip_span_ratio: float = 0.9
+    grid_strip_other_ratio: float = 0.4
+    fullpage_rescue_min_edge_density: float = 0.03
+    fullpage_rescue_min_entropy: float = 4.3
+    fullpage_rescue_max_white_ratio: float = 0.22
+    fullpage_rescue_max_text_ratio: float = 0.16
+    strip_projection_min_fill_ratio: float = 0.06
+    strip_projection_min_run_ratio: float = 0.08
+    strip_projection_pad_ratio: float = 0.01
+    fallback_texture_std_threshold: float = 18.0
+    fallback_saturation_threshold: int = 36
+    fallback_edge_open_ratio: float = 0.0018
+    fallback_edge_close_ratio: float = 0.0035
+    fallback_min_component_area_ratio: float = 0.0024
+    large_box_split_open_ratio: float = 0.0015
+    large_box_split_close_ratio: float = 0.003
+    large_box_split_min_component_area_ratio: float = 0.015
+    panel_merge_gap_ratio: float = 0.02
+    panel_merge_min_cross_overlap: float = 0.08
+    panel_merge_max_union_area_ratio: float = 0.72
+    panel_drop_small_inside_ratio: float = 0.8
+    panel_text_heavy_drop_ratio: float = 0.48
+    panel_text_heavy_max_edge_density: float = 0.018
+    panel_min_area_ratio: float = 0.009
+    small_textlike_max_area_ratio: float = 0.08
+    small_textlike_max_entropy: float = 4.5
+    small_textlike_max_edge_density: float = 0.03
+    half_rescue_min_side_area_ratio: float = 0.08
+    half_rescue_component_area_ratio: float = 0.008
+    half_rescue_texture_std_threshold: float = 11.0
+    half_rescue_saturation_threshold: int = 28
     min_visual_area_ratio: float = 0.0125
     min_visual_short_side_ratio: float = 0.05
     min_visual_width_px: int = 48
@@ -106,6 +161,7 @@ class Settings:
     ocr: OCR = field(default_factory=OCR)
     grouping: Grouping = field(default_factory=Grouping)
     classification: Classification = field(default_factory=Classification)
+    mask: Mask = field(default_factory=Mask)
     visual: Visual = field(default_factory=Visual)
     crop: Crop = field(default_factory=Crop)
     text_correction: Correction = field(default_factory=Correction)
