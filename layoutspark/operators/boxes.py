@@ -331,6 +331,87 @@ def halves(planned: DataFrame, w: int, h: int) -> DataFrame:
     return marked.select("page_id", "rk", "wide", F.posexplode(F.when(F.col("wide"), both).otherwise(F.array(b.struct()))).alias("half", "p")).select("page_id", "rk", "wide", "half", "p.*")
 
 
+#: How many boxes a kind of page keeps; two, if it isn't here.
+KEEP = {"background_photo_page": 1, "puzzle_page": 4}
+
+
+def policy(pattern: DataFrame, heuristic: DataFrame, pages: DataFrame, w: int, h: int) -> DataFrame:
+    """The plans of each page: of its pattern boxes or, if it has none, of its other ones; pages (page_id, page_type, confidence, full_page).
+
+    A page with full_page is one plan of the whole page.
+    """
+    without = heuristic.join(pattern.select(F.col("page_id").alias("pp")).distinct(), F.col("page_id") == F.col("pp"), "left_anti")
+    kinds = pages.select(F.col("page_id").alias("kp"), "page_type", "confidence", "full_page")
+    source = pattern.unionByName(without, allowMissingColumns=True).join(kinds, F.col("page_id") == F.col("kp")).where("not full_page")
+    puzzle = select_puzzle_boxes(source.where("page_type = 'puzzle_page'"), w, h, KEEP["puzzle_page"]).drop("area", "right", "low", "in_half", "in_quadrant", "tier")
+    other = rank_boxes(source.where("page_type <> 'puzzle_page'"), w, h, 2)
+    other = other.withColumn("place", F.row_number().over(W.partitionBy("page_id").orderBy(F.col("policy_score").desc(), "rk"))).where(f"page_type <> 'background_photo_page' or place <= {KEEP['background_photo_page']}").drop("place", "policy_score")
+    names = ["page_id", "rk", *BOX, "visual_class", "page_side", "confidence", "panel_index"]
+    made = plans(puzzle.unionByName(other), w, h, F.col("page_type"), F.col("confidence")).select(*names)
+    whole = pages.where("full_page").select("page_id", F.lit(1).alias("rk"), *[F.lit(v).cast("long").alias(c) for c, v in zip(BOX, (0, 0, w, h))], F.lit("background_photo_page").alias("visual_class"), F.lit("single").alias("page_side"), F.lit(1.0).alias("confidence"), F.lit(1).alias("panel_index"))
+    return made.unionByName(whole)
+
+
+def replaced(planned: DataFrame, new: DataFrame) -> DataFrame:
+    """planned, but for pages that have new plans."""
+    return planned.join(new.select(F.col("page_id").alias("np")).distinct(), F.col("page_id") == F.col("np"), "left_anti").unionByName(new.select(*planned.columns))
+
+
+def _as_plans(rows: DataFrame, boxes: Column, klass: str, confidence: Column, side: Column) -> DataFrame:
+    """Plans of an array of boxes per page, numbered in its order."""
+    found = rows.select("page_id", F.posexplode(boxes).alias("n", "b"), confidence.alias("confidence"), side.alias("side"))
+    return found.select("page_id", (F.col("n") + 1).alias("rk"), *[F.col(f"b.{c}").cast("long").alias(c) for c in BOX], F.lit(klass).alias("visual_class"), F.get("side", F.col("n")).alias("page_side"), "confidence", (F.col("n") + 1).alias("panel_index"))
+
+
+def _fixed(*boxes: tuple[float, float, float, float], w: int, h: int) -> Column:
+    return F.array(*[Box(*(F.lit(round(v * s)).cast("long") for v, s in zip(b, (w, h, w, h)))).struct() for b in boxes])
+
+
+def stacked_override(planned: DataFrame, pool: DataFrame, pages: DataFrame, w: int, h: int) -> DataFrame:
+    """On the third page of a spread magazine two framed photos above each other on the left stand for a huge box on the right.
+
+    pool: boxes that a pair may come from; pages (page_id, page_no, full_page). Without a pair, a huge box gives way to
+    the usual places of the two.
+    """
+    if w / max(1, h) < 1.35:
+        return planned
+    asked = pages.where("page_no = 3 and not full_page").select("page_id")
+    share, right = Box.of().ar(w, h), Box.of().cx > w / 2.0
+    state = asked.join(planned, "page_id", "left").groupBy("page_id").agg(F.count("rk").alias("n"), F.coalesce(F.max((share >= 0.42) & right), F.lit(False)).alias("opposite"), F.coalesce(F.max(share >= 0.42), F.lit(False)).alias("huge"))
+    pairs = stacked_pairs(pool, w, h, "left")
+    box = lambda k: pool.select(F.col("page_id").alias(f"p{k}"), F.col("rk").alias(f"r{k}"), F.struct(*BOX).alias(k))
+    pairs = pairs.join(box("a"), (F.col("page_id") == F.col("pa")) & (F.col("rk_a") == F.col("ra"))).join(box("b"), (F.col("page_id") == F.col("pb")) & (F.col("rk_b") == F.col("rb")))
+    pairs = pairs.select(F.col("page_id").alias("sp"), F.array_sort(F.array(F.struct(F.col("a.y1").alias("top"), F.col("a").alias("box")), F.struct(F.col("b.y1").alias("top"), F.col("b").alias("box")))).alias("pair"))
+    rows = state.join(pairs, F.col("page_id") == F.col("sp"), "left")
+    left = F.array(F.lit("left"), F.lit("left"))
+    found = _as_plans(rows.where("pair is not null and (opposite or n < 2)"), F.transform("pair", lambda x: x["box"]), "framed_photo", F.lit(0.74), left)
+    usual = _as_plans(rows.where("pair is null and huge"), _fixed((0.20, 0.05, 0.49, 0.52), (0.04, 0.52, 0.49, 0.98), w=w, h=h), "framed_photo", F.lit(0.68), left)
+    return replaced(planned, found.unionByName(usual))
+
+
+def puzzle_override(planned: DataFrame, splits: DataFrame, w: int, h: int) -> DataFrame:
+    """A puzzle page's four plans are cut anew at its emptiest row; splits (page_id, split). The parts overlap there and in the middle."""
+    four = planned.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("panel_index", "confidence"))["confidence"].alias("c"), F.min("visual_class").alias("lo"), F.max("visual_class").alias("hi")).where("n = 4 and lo = 'puzzle_page' and hi = 'puzzle_page'")
+    rows = four.join(splits, "page_id")
+    lap, mid, of = max(22, round(h * 0.055)), w // 2, lambda v: F.lit(v).cast("long")
+    top, low = F.least(of(h), F.col("split") + lap), F.greatest(of(0), F.col("split") - lap)
+    boxes = F.array(*[Box(of(a), c, of(b), d).struct() for c, d in ((of(0), top), (low, of(h))) for a, b in ((0, mid + 8), (mid - 8, w))])
+    sides = F.array(*[F.lit(x) for x in ("left", "right", "left", "right")])
+    return replaced(planned, _as_plans(rows, boxes, "puzzle_page", F.greatest(F.lit(0.78), F.col("c")), sides))
+
+
+def forced(planned: DataFrame, candidates: DataFrame, pages: DataFrame, most: int = 2) -> DataFrame:
+    """Pages (page_id) that must show something get their largest candidates that overlap no plan by more than 0.55, up to two plans."""
+    have = planned.join(pages.select("page_id"), "page_id", "left_semi").select("page_id", F.lit(0).alias("late"), F.col("panel_index").cast("long").alias("n"), "rk", *BOX)
+    more = candidates.join(pages.select("page_id"), "page_id", "left_semi").withColumn("n", F.row_number().over(W.partitionBy("page_id").orderBy(Box.of().area().desc(), "rk")).cast("long")).select("page_id", F.lit(1).alias("late"), "n", "rk", *BOX)
+    none = pages.select("page_id").join(planned.select("page_id").distinct(), "page_id", "left_anti").withColumn("empty", F.lit(True))
+    both = have.unionByName(more)
+    kept = greedy(both, [F.col("late"), F.col("n")], 0.55, most, lambda k, b: (b["late"] == 1) & (Box.element(k).iou(Box.element(b)) > 0.55))
+    new = kept.where("late = 1").join(none, "page_id", "left")
+    new = new.select("page_id", "rk", *BOX, F.lit("framed_photo").alias("visual_class"), F.lit("single").alias("page_side"), F.when(F.col("empty"), 0.4).otherwise(0.42).alias("confidence"), F.when(F.col("empty"), 1).otherwise(2).alias("panel_index"))
+    return planned.unionByName(new.select(*planned.columns))
+
+
 # --- merges whose result depends on the order: one page at a time ----------------------------------------
 
 

@@ -313,10 +313,15 @@ def test_engine_and_sql(spark):
 def test_sources(spark, tmp_path):
     for name in ("b.PNG", "a.jpg", "x.txt", "doc.pdf"):
         (tmp_path / name).write_bytes(b"data")
-    assert [r.name for r in files.images(spark, str(tmp_path)).collect()] == ["a.jpg", "b.PNG"]
+    assert sorted(r.name for r in files.images(spark, str(tmp_path)).collect()) == ["a.jpg", "b.PNG"]
+    assert [r.name for r in files.listing(spark, str(tmp_path), content=False).collect()] == ["a.jpg", "b.PNG"]
     assert {(r.name, r.kind) for r in files.inputs(spark, str(tmp_path)).collect()} == {("a.jpg", "image"), ("b.PNG", "image"), ("doc.pdf", "pdf")}
-    pages = files.pdf_pages(files.pdfs(spark, str(tmp_path)), lambda content, scale: iter([(1, 1, b"p")] * 3), start=2)
+    render = lambda content, scale, start: iter([(1, 1, b"p")] * (4 - start))
+    pages = files.pdf_pages(files.pdfs(spark, str(tmp_path)), render, start=2)
     assert [r.page_no for r in pages.collect()] == [2, 3]
+    assert [r.page_no for r in files.pdf_pages(files.pdfs(spark, str(tmp_path)), render, only=3).collect()] == [3]
+    with pytest.raises(Exception, match="no page 4"):
+        files.pdf_pages(files.pdfs(spark, str(tmp_path)), render, only=4).collect()
     with pytest.raises(ValueError):
         files.recognised(pages, "none")
     files.BACKENDS["stub"] = lambda: lambda rows: [[("hello", 0.9, [(1.4, 2.6), (9, 2), (9, 8), (1, 8)]), ("weak", 0.1, [(0, 0)] * 4)] for _ in rows]
@@ -330,6 +335,11 @@ def test_parsed_lines(spark):
     assert tuple(row) == (1, 0, "hi", 0.7, 1, 2, 9, 8)
 
 
+def test_older_results(spark):
+    raw = json.dumps([None, [[[[1, 2], [9, 2], [9, 8], [1, 8]], ["hi", 0.7]], [[[1, 2], [3, 4]], ["", 0.9]]]])
+    assert [tuple(r) for r in files.parsed_older_lines(spark.createDataFrame([(1, raw)], "page_id long, result string")).collect()] == [(1, 0, "hi", 0.7, 1, 2, 9, 8)]
+
+
 def test_streaming(spark, tmp_path):
     rows = lines(spark, [("a b", 0, 0, 100, 20)]).union(lines(spark, [("c d", 0, 0, 100, 20)], 2))
     for page in (1, 2):
