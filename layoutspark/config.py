@@ -10,6 +10,7 @@ from pathlib import Path
 @dataclass(frozen=True)
 class OCR:
     min_confidence: float = 0.45
+    enable_second_pass: bool = True
     second_pass_min_avg_conf: float = 0.62
     second_pass_min_lines: int = 8
     second_pass_merge_iou: float = 0.8
