@@ -179,6 +179,8 @@ def test_both_ways_of_correction_agree(spark, monkeypatch):
             if rated and -rated[0][0] >= cfg.similarity_threshold:
                 assert any(rated[0][1] in here.near.get(k, ()) for k in correction.token_keys(token, cfg))
         df = spark.createDataFrame([(w,) for w in words], "word string")
+        pairs = spark.createDataFrame([(t, w) for t in tokens[:60] for w in words if t.translate(correction._fold) == w.translate(correction._fold)], "t string, w string")
+        assert all(x.a == x.b for x in pairs.select(F.array_contains(correction.variants(F.col("t")), F.col("w")).alias("a"), correction.is_variant(F.col("t"), F.col("w")).alias("b")).collect())
         joined = correction.suggestions(spark.createDataFrame([(t,) for t in tokens], "token string"), df, cfg).collect()
         assert {x.token: x.suggestion for x in joined} == {t: s for t in tokens if (s := here.suggestion(t)) is not None} != {}
     blocks = spark.createDataFrame([(1, "Buvuklerimiz dive dedi, evimde kilom vok."), (2, None)], "id long, text string")
@@ -382,5 +384,117 @@ def test_corrections_take_unicode_words(spark, tmp_path):
     from layoutspark.plans import catalog
 
     spark.createDataFrame([(1, "Bir öğrencı geldi, réeaution."), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "No word of these.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert [(r.token, r.suggestion) for r in catalog.corrections(spark, str(tmp_path)).collect()] == [("öğrencı", "öğrenci")]
     assert {r.token for r in catalog._tokens(spark, str(tmp_path), r"(?U)\w+").collect()} == {"Bir", "öğrencı", "geldi", "réeaution"}
+
+
+def test_composition_equals_brute_force(spark):
+    """Items of random pages against the rules said one after the other, without plans."""
+    r = random.Random(40)
+    pages = []
+    for page in range(14):
+        wide = page % 2 == 0
+        blocks = []
+        for seq in range(r.randint(1, 14)):
+            x, y = r.randrange(0, 1500 if wide else 600, 10), r.randrange(0, 900, 10)
+            blocks.append((page, seq, r.randint(0, 5), r.choice(["headline", "content", "content", "other_text"]), x, y, x + r.randrange(50, 400, 10), y + r.randrange(20, 120, 10), r.choice(["", " "]) + f"t{seq}" if r.random() < 0.9 else "  "))
+        pages.append(blocks)
+    schema = "page_id long, seq long, article_no long, role string, x1 long, y1 long, x2 long, y2 long, text string"
+    found = {}
+    for x in tb.compose(spark.createDataFrame([b for p in pages for b in p], schema), "seq").collect():
+        found.setdefault(x.page_id, []).append((x.item_no, x.article_no, x.role, x.x1, x.y1, x.x2, x.y2, x.text, x.headline_text, x.content_text))
+    around = lambda bs: (min(b[4] for b in bs), min(b[5] for b in bs), max(b[6] for b in bs), max(b[7] for b in bs))
+    centre = lambda a, b: (a + b) / 2
+    for page, blocks in enumerate(pages):
+        px1, py1, px2, py2 = around(blocks)
+        spread, mid = (px2 - px1) / (py2 - py1) >= 1.35, centre(px1, px2)
+        right = lambda x1, x2: spread and centre(x1, x2) > mid
+        articles = {}
+        for b in blocks:
+            articles.setdefault(b[2], []).append(b)
+
+        def from_top(bs):
+            top = min(bs, key=lambda b: (b[5], b[4]))
+            return right(around(bs)[0], around(bs)[2]), top[5], top[4], around(bs)[1], bs[0][2]
+
+        order = sorted(articles, key=lambda a: from_top(articles[a]))
+        headed = {a: list(articles[a]) for a in order if any(b[3] == "headline" for b in articles[a])}
+        rest = []
+        for b in blocks:
+            if b[2] in headed:
+                continue
+            if b[3] != "content" or not headed:
+                rest.append(b)
+                continue
+            marks = []
+            for place, (a, bs) in enumerate(headed.items()):
+                head, box = around([m for m in bs if m[3] == "headline"]), around(bs)
+                if len(headed) > 1 and spread and (centre(b[4], b[6]) > mid) != (centre(head[0], head[2]) > mid):
+                    continue
+                down = max(0, b[5] - head[3]) if b[5] >= head[1] else abs(centre(b[5], b[7]) - centre(box[1], box[3]))
+                over = max(0, min(b[6], box[2]) - max(b[4], box[0])) / max(1, min(b[6] - b[4], box[2] - box[0]))
+                marks.append((2 * over - abs(centre(b[4], b[6]) - centre(box[0], box[2])) / (px2 - px1) - 0.8 * (down / (py2 - py1)) + 0.2 * (b[1] >= max(m[1] for m in bs)), -place, a))
+            if len(headed) == 1:
+                headed[next(iter(headed))].append(b)
+            elif marks and max(marks)[0] >= -0.35:
+                headed[max(marks)[2]].append(b)
+            else:
+                rest.append(b)
+        said = lambda bs: " ".join(b[8].strip() for b in bs if b[8].strip())
+        items = []
+        for a, bs in headed.items():
+            bs = sorted(bs, key=lambda b: b[1])
+            head, body = said([b for b in bs if b[3] == "headline"]), said([b for b in bs if b[3] != "headline"])
+            items.append((a, "headline_group", *around(bs), " ".join(x for x in (head, body) if x), head, body))
+        heights = sorted(b[7] - b[5] for b in rest)
+        far = max(26, 1.45 * (heights[len(heights) // 2] + heights[(len(heights) - 1) // 2]) / 2) if rest else 0
+        groups = []
+        for b in sorted(rest, key=lambda b: (right(b[4], b[6]), b[5], b[4], b[1])):
+            if not groups or right(groups[-1][-1][4], groups[-1][-1][6]) != right(b[4], b[6]) or b[5] - groups[-1][-1][7] > far:
+                groups.append([])
+            groups[-1].append(b)
+        items += [(None, "other_text_group", *around(g), said(g), None, None) for g in groups if said(g)]
+        got = sorted(found.get(page, []))
+        assert sorted(map(repr, (x[1:] for x in got))) == sorted(map(repr, items)), page
+        if items:
+            ix1, ix2 = min(i[2] for i in items), max(i[4] for i in items)
+            tall = max(i[5] for i in items) - min(i[3] for i in items)
+            keys = [(max(1, ix2 - ix1) / max(1, tall) >= 1.35 and centre(i[3], i[5]) > centre(ix1, ix2), i[4], i[3]) for i in got]
+            assert keys == sorted(keys) and [i[0] for i in got] == list(range(1, len(got) + 1))
+
+
+def test_order_dependent_merges_equal_brute_force(spark):
+    r = random.Random(6)
+    rows = [(x, y, x + r.randint(20, 120), y + r.randint(20, 120)) for x, y in ((r.randint(0, 700), r.randint(0, 700)) for _ in range(45))]
+    order = sorted(rows)
+    order.sort(key=lambda b: (b[1], b[0], b[2], b[3]))
+    around = lambda a, b: (min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3]))
+
+    def growing(boxes):
+        out, left = [], list(boxes)
+        while left:
+            current = left.pop(0)
+            while near := [b for b in left if bx._iou(current, b) >= 0.25]:
+                current = around(current, near[0])
+                left.remove(near[0])
+            out.append(current)
+        return out
+
+    def panels(boxes):
+        while True:
+            out, used = [], set()
+            for i, a in enumerate(boxes):
+                if i in used:
+                    continue
+                for j in range(i + 1, len(boxes)):
+                    if j not in used and bx._iou(a, boxes[j]) >= 0.24:
+                        a, used = around(a, boxes[j]), used | {j}
+                out.append(a)
+            if len(out) == len(boxes):
+                return out
+            boxes = out
+
+    got = lambda df: [tuple(x)[2:] for x in df.orderBy("seq").collect()]
+    assert set(got(bx.merge_overlaps(boxes(spark, rows)))) == set(growing(order))
+    assert got(bx.merge_panels(boxes(spark, rows))) == panels(order)
