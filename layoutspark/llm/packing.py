@@ -36,7 +36,9 @@ from .common import slices
 VOCABULARY = "byte_bpe_50k.json"
 WINDOW, END_ID, SHARD_TOKENS = 2048, 1, 2 << 20
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_CHARS = 150_000, 40
+CACHE_WORDS, CACHE_CHARS = 200_000, 40
+#: Neighbours that are ranked at first; ranking more changes nothing but time.
+FIRST_LOOK = 32
 _white_pair = re.compile(r"\s\s")
 
 
@@ -74,7 +76,8 @@ def tokenizer(vocabulary: str = VOCABULARY):
     path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
     with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode = getattr(own, "_core_bpe", own).encode_ordinary  # without a wrapper for texts that UTF-8 can't hold
     cached = Words(encode)
     added = {k: array("I", [v]).tobytes() for k, v in added_tokens(path).items()}
     apart = re.compile("|".join(re.escape(x) for x in sorted(added, key=len, reverse=True))) if added else None
@@ -114,8 +117,9 @@ class Index:
         self.weights = idf[place] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / max(lengths.mean(), 1)))
         self.first = np.append(first, len(key))  # of each token's postings
         shared = np.flatnonzero(df[place] > 1)
-        shared = shared[np.argsort(self.docs[shared], kind="stable")]
-        self.own, self.begin = place[shared], np.searchsorted(self.docs[shared], np.arange(n + 1))  # each document's tokens
+        of = self.docs[shared].astype(np.uint16 if n <= 1 << 16 else np.int64)  # short numbers are sorted by digits
+        shared = shared[np.argsort(of, kind="stable")]
+        self.own, self.begin = place[shared], np.append(0, np.cumsum(np.bincount(of, minlength=n)))  # each document's tokens
         self.live = n
 
     def neighbours(self, doc: int, used: np.ndarray, most: int) -> np.ndarray:
@@ -150,7 +154,11 @@ def order_of(ids: list[np.ndarray], window: int = WINDOW, terms: list[np.ndarray
 
     def near(doc: int):
         index.forget(used, len(ids) - len(order))
-        return iter(index.neighbours(doc, used, window).tolist())  # no document is empty: so many fill the window
+        for most in (FIRST_LOOK, window):  # a few as a rule, else as many as fill the window: no document is empty
+            found = index.neighbours(doc, used, most).tolist()
+            yield from found
+            if len(found) < most:
+                return
 
     while len(order) < len(ids):
         if seed < 0:
