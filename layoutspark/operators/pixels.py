@@ -17,8 +17,11 @@ def entropy(pixels: DataFrame, keys: list[str] = ["page_id"], value: str = "v")
 
 
 def mask_ratio(pixels: DataFrame, boxes: DataFrame, inside: Column) -> DataFrame:
-    """boxes with the share of their pixels for which `inside` holds; 0 where a box has none."""
-    p, b = pixels.alias("p"), boxes.alias("b")
+    """boxes with the share of their pixels for which `inside` holds; 0 where a box has none.
+
+    The boxes are hashed and the pixels pass by them. Left to itself, Spark takes exploded pixels for a small table and broadcasts them.
+    """
+    p, b = pixels.alias("p"), boxes.hint("shuffle_hash").alias("b")
     on = (F.col("p.page_id") == F.col("b.page_id")) & (F.col("p.x") >= F.col("b.x1")) & (F.col("p.x") < F.col("b.x2")) & (F.col("p.y") >= F.col("b.y1")) & (F.col("p.y") < F.col("b.y2"))
     keys = [F.col(f"b.{c}") for c in boxes.columns]
     return b.join(p, on, "left").groupBy(*keys).agg(F.coalesce(F.avg(F.when(F.col("p.v").isNotNull(), inside.cast("double"))), F.lit(0.0)).alias("ratio"))
