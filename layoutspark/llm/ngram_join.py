@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, block_sums, checked_broadcast, discard, materialize, mix, packed, slices, words
+from .common import Words, block_sums, bounded_batches, checked_broadcast, discard, materialize, mix, packed, slices, words
 from .components import components
 
 SHINGLE = 4
@@ -284,7 +284,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     since those within a component found so far aren't all verified.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    texts = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     rows = materialize(texts.mapInArrow(lambda it: _classes(it, k), "doc_id long, n long, digest binary, i int, v binary"), "shingle-classes")
     each = rows.where("i is null").select("doc_id", "n", "digest")
     classes = materialize(each.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")

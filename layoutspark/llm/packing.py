@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded_batches, slices
 
 VOCABULARY = "byte_bpe_50k.json"
 WINDOW, END_ID, SHARD_TOKENS = 2048, 1, 2 << 20
@@ -106,8 +106,9 @@ class Index:
 
     def __init__(self, ids: list[np.ndarray]):
         n = self.n = len(ids)
-        doc = np.repeat(np.arange(n), [len(x) for x in ids])
-        key = np.concatenate(ids).astype(np.int64) * n + doc
+        key = np.concatenate(ids).astype(np.int64)  # the largest array of a shard: made once
+        key *= n
+        key += np.repeat(np.arange(n), [len(x) for x in ids])
         key, tf = np.unique(key, return_counts=True)
         token, self.docs = np.divmod(key, n)
         first, df = np.unique(token, return_index=True, return_counts=True)[1:]
@@ -240,4 +241,4 @@ def packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
             yield pack(shard, sequence, window)[0]
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return texts.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return bounded_batches(texts).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

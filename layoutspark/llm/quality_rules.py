@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import bounded_batches, materialize, slices
 from .stats import COUNTS, FEATURES, matrix, one_label, stats, text_stats
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
@@ -91,8 +91,9 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.n
 
 
 def forest_of(grown: list[tuple], sizes: list[int]) -> Forest:
-    """The trees together; sizes: how many rows each has."""
-    return Forest(*(np.stack(part) for part in zip(*grown)), max(float(np.mean([expected_path(n) for n in sizes])), 1e-9))
+    """The trees together, cut behind the nodes that the largest has; sizes: how many rows each has."""
+    nodes = max(2 * int((feature >= 0).sum()) + 1 for feature, *_ in grown)
+    return Forest(*(np.stack([x[:nodes] for x in part]) for part in zip(*grown)), max(float(np.mean([expected_path(n) for n in sizes])), 1e-9))
 
 
 def grow(x: np.ndarray, trees: int = TREES, per_tree: int = PER_TREE, seed: int = SEED) -> Forest:
@@ -205,4 +206,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
             for part in slices(named, str(place)):
                 yield part.filter(pa.array(rules.value(*text_stats(part.column(place).fill_null("")))[2])).rename_columns(batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)

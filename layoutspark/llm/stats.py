@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, char_counts, mix, slices, words
+from .common import Words, bounded_batches, char_counts, mix, slices, words
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -124,7 +124,7 @@ def _run(batches):
 def stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, the counts, x array<double> of FEATURES) of every row; null texts count as empty."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return texts.mapInArrow(_run, f"doc_id long, {', '.join(f'{c} long' for c in COUNTS)}, x array<double>")
+    return bounded_batches(texts).mapInArrow(_run, f"doc_id long, {', '.join(f'{c} long' for c in COUNTS)}, x array<double>")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
